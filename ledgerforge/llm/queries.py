@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import common, decontam, langid, lm, media, mixing, neardup, pii, urlfilter
+from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,16 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, urlfilter.rules_table(spark, RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(common.table(spark, sf_dir, "conversations"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels").where(common.id_crc(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (common.id_crc(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     scored = lm.score(docs, lm.fit(docs.where(common.id_crc(7) != 2)))
@@ -66,7 +76,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op8_lm_scoring, op9_near_duplicates, op10_media)
+    for f in (op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op6_chat_format, op7_toxicity, op8_lm_scoring, op9_near_duplicates, op10_media)
 }
 
 _HOST = r"coalesce(translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
