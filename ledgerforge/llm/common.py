@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Rows that Spark hands to Python at once; documents can be long, so fewer than Spark's 10000.
 BATCH_ROWS = 1000
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_LOWER = {i: i + 32 for i in range(65, 91)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,16 +70,14 @@ def hash_strings(words: list[str]) -> np.ndarray:
 
 
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words (runs without ASCII white space) of many texts at once.
+    """Words (runs without ASCII white space) of many texts at once; ``lower``: A-Z in lower case.
 
     Returns the word code of each word, the number of words up to each text (one longer than
-    the texts) and the distinct words. Null texts have no words.
+    the texts) and the words of the codes, distinct but for case. Null texts have no words.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
     offsets = lists.offsets.to_numpy()
     words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
@@ -90,6 +88,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
         full = codes != vocabulary.index("")
         offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
         codes = codes[full]
+    if lower:  # here and not in Arrow, whose kernel garbles sliced arrays
+        vocabulary = [w.lower() if w.isascii() else w.translate(_LOWER) for w in vocabulary]
     return codes, offsets, vocabulary
 
 
