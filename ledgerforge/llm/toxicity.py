@@ -177,7 +177,7 @@ class Reader:
         return who, what
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, features: int = 1000, least: int = 5, steps: int = 3000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, features: int = 1000, least: int = 5, steps: int = 1500, ridge: float = 0.2) -> Model:
     """Learn the character model from all texts of ``docs``, and the classifier from labelled rows.
 
     The classifier's rows are a bounded sample: about ``sample`` of ``labels`` (doc_id, toxic), by the hash of their ids, and all of
@@ -238,12 +238,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, features: int =
     row = np.repeat(np.arange(len(data)), [len(r["features"]) for r in data])
     column = np.array([f for r in data for f in r["features"]], int)
     w, bias = np.zeros(len(names)), math.log(bad / good)
-    rate = 1.0 / (0.25 * max(1, max(len(r["features"]) for r in data)))
-    for _ in range(steps):  # full-batch gradient ascent with a ridge
+    support = np.bincount(column, n[row], len(w))
+    for _ in range(steps):  # ascent on the penalised likelihood, each weight at the pace of its own curvature
         z = bias + np.bincount(row, w[column], len(data))
         gap = n * (y - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-        w += rate * (np.bincount(column, gap[row], len(w)) / np.maximum(1, np.bincount(column, n[row], len(w))) * 4 - 0.0003 * w)
-        bias += 0.5 * gap.sum() / n.sum()
+        w += (np.bincount(column, gap[row], len(w)) - ridge * w) / (2 * support + ridge)
+        bias += gap.sum() / n.sum()
     return Model(chars, {g: float(w[i]) for g, i in names.items()}, float(bias))
 
 
