@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,35 +63,67 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def hash_strings(words: list[str]) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w.encode()) for w in words), np.uint64, len(words))
+_TABLE = mix(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_LOWER_BYTES = np.arange(256, dtype=np.uint8)
+_LOWER_BYTES[65:91] += 32
+
+
+def hash_strings(words: list[str] | pa.Array, lower: bool = False) -> np.ndarray:
+    """64-bit hashes: the sum of a random number for each byte and place. ``lower``: A-Z as in lower case."""
+    words = (pa.array(words, pa.large_string()) if isinstance(words, list) else words).cast(pa.large_string())
+    n = len(words)
+    if not n:
+        return np.zeros(0, np.uint64)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + n + 1]
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    if lower:
+        data = _LOWER_BYTES[data]
+    ends = ends - ends[0]
+    place = np.arange(len(data)) - np.repeat(ends[:-1], np.diff(ends))
+    with np.errstate(over="ignore"):
+        values = _TABLE[((place & 63) << 8) | data]
+        if len(place) and place.max() > 63:
+            values = values * ((place >> 6).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        return mix(total[ends[1:]] - total[ends[:-1]] + np.diff(ends).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words (runs without ASCII white space) of many texts at once; ``lower``: A-Z in lower case.
-
-    Returns the word code of each word, the number of words up to each text (one longer than
-    the texts) and the words of the codes, distinct but for case. Null texts have no words.
-    """
+def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.ascii_split_whitespace(texts)
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     offsets = lists.offsets.to_numpy()
     words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     offsets = (offsets - offsets[0]).astype(np.int64)
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    vocabulary = words.dictionary.to_pylist()
-    if "" in vocabulary:
-        full = codes != vocabulary.index("")
+    empty = np.flatnonzero(pc.binary_length(words.dictionary).to_numpy(zero_copy_only=False) == 0)
+    if len(empty):  # white space at an end makes an empty word
+        full = codes != empty[0]
         offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
         codes = codes[full]
+    return codes, offsets, words.dictionary
+
+
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words (runs without ASCII white space) of many texts at once; ``lower``: A-Z in lower case.
+
+    Returns the word code of each word, the number of words up to each text (one longer than
+    the texts) and the words of the codes, distinct but for case. Null texts have no words.
+    """
+    codes, offsets, words = _split(texts)
+    vocabulary = words.to_pylist()
     if lower:  # here and not in Arrow, whose kernel garbles sliced arrays
         vocabulary = [w.lower() if w.isascii() else w.translate(_LOWER) for w in vocabulary]
     return codes, offsets, vocabulary
 
 
+def split_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``split_words`` in lower case, with hashes in place of the words."""
+    codes, offsets, words = _split(texts)
+    return codes, offsets, hash_strings(words, lower=True)
+
+
 def owners(offsets: np.ndarray) -> np.ndarray:
     """For each word, the number of its text."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
