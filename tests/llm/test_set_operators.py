@@ -8,7 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
-from conftest import ODD  # noqa: F401  tests/llm/conftest.py
+from odd_rows import ODD
 from oracle import connect, same
 from pyspark.sql import functions as F
 
@@ -267,7 +267,7 @@ def test_chunks_follow_content():
     passage = bytes(rng.randrange(256) for _ in range(60_000))
     one, two = media.chunks(b"short head" + passage), media.chunks(bytes(rng.randrange(256) for _ in range(777)) + passage)
     assert b"".join(one) == b"short head" + passage and len(set(one) & set(two)) >= len(one) - 3
-    assert all(len(c) <= media.MOST for c in one + two) and media.chunks(b"\xff" * 200_000)[0] == b"\xff" * media.MOST or True
+    assert all(len(c) <= media.MOST for c in one + two)
     with pytest.raises(ValueError):
         media.read(media.stored(one)[:-1] + b"\x00")
 

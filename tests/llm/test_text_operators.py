@@ -9,7 +9,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import ODD  # noqa: F401  tests/llm/conftest.py
+from odd_rows import ODD
 from pyspark.sql import functions as F
 
 from ledgerforge.llm import common, decontam, langid, lm, pii, toxicity
@@ -102,7 +102,7 @@ def test_messages_reach_the_exact_marginals_on_a_tree():
     graph = pii.Graph([], np.array([0, 0, 2, 0]), rng.random((4, len(pii.FEATURES))), np.array([[0, 1], [1, 2], [1, 3]]), np.array([False, True, True]), np.zeros(4, int))
     own = graph.features @ weights.unary
     exact = np.zeros((4, k))
-    for a in np.ndindex(k, k, 2 + 1 if False else k, k):
+    for a in np.ndindex(k, k, k, k):
         if a[2] != 2:
             continue
         w = math.exp(own[0, a[0]] + own[1, a[1]] + own[3, a[3]] + weights.chain[a[0], a[1]] + weights.skip * ((a[1] == a[2]) + (a[1] == a[3])))
@@ -118,7 +118,7 @@ def test_redaction_of_odd_rows(spark, make):
     assert out.columns == docs.columns and out.count() == len(ODD) + 2
     assert {(r["text"], r["n_chars"]) for r in out.where("doc_id = 20").collect()} == {("call <PHONE> now", 16)}
     assert pii.find(make([]), pii.fit(make([]))).count() == 0
-    assert pii.redact("abcdef", [("email", 0, 3), ("ip", 2, 4), ("card", 5, 6)]) == "<EMAIL>e<CARD>"[:7] + "e<CARD>"
+    assert pii.redact("abcdef", [("email", 0, 3), ("ip", 2, 4), ("card", 5, 6)]) == "<EMAIL>e<CARD>"
 
 
 # Decontamination
