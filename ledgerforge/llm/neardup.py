@@ -7,8 +7,9 @@ under its weights, each dart falls on one of k coordinates, and the earliest of
 documents agree on a coordinate with the probability of their weighted Jaccard similarity. The number of darts
 depends on k alone, as the rank is cut where about k (ln k + 2) darts lie.
 
-Signatures are joined by bands; members of a bucket are compared with a lead exactly, those that differ
-form a smaller bucket of the next round, with more leads, until none is left.
+Signatures are joined by bands; members of a bucket are compared with a lead exactly. Buckets whose members are
+not all connected by then meet again, whole, by the rarest shingles of their texts: there round follows round, with
+more leads, until every two members of a bucket are connected or were compared.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.llm import common
@@ -158,6 +159,8 @@ def signatures(docs: DataFrame, width: int = 5, bands: int = 30, rows: int = 6,
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text), text).mapInArrow(run, "doc_id long, h long, key binary, bands array<long>")
 
 
+#: So many pairs of members, or eight for each member, meet at once.
+FEW_PAIRS = 1 << 20
 #: Bits of the filter that tells which texts a check needs: 16 MiB, whatever the corpus.
 SIEVE_WORDS = 1 << 21
 
@@ -199,10 +202,11 @@ def _elements(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, wanted: DataFrame, least: float) -> DataFrame:
-    """(bucket, key, order) of the wanted (key, order): a bucket for each element of a prefix that another text has too.
+    """(bucket, key, order, size, place) of the wanted (key, order): a bucket for each element of a prefix that another text has too.
 
     The elements of a text are ordered by how many of the wanted texts have them, rarest first. Of n elements the first
     n - ceil(least * n) + 1 are the prefix, and texts of similarity ``least`` or more share an element of their prefixes.
+    ``size`` is n, ``place`` that of the element.
     """
 
     def run(stream):
@@ -216,7 +220,14 @@ def _prefixes(sets: DataFrame, wanted: DataFrame, least: float) -> DataFrame:
     counts = elements.groupBy("bucket").agg(F.count("*").alias("texts"))
     place = F.row_number().over(Window.partitionBy("key").orderBy("texts", "bucket"))  # of one text
     ranked = elements.join(counts, "bucket").withColumn("place", place)
-    return ranked.where((F.col("place") <= F.col("size") - F.ceil(least * F.col("size")) + 1) & (F.col("texts") > 1)).join(wanted, "key").select("bucket", "key", "order")
+    return ranked.where((F.col("place") <= F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1) & (F.col("texts") > 1)).join(wanted, "key").select("bucket", "key", "order", "size", "place")
+
+
+def _may_be_similar(least: float) -> Column:
+    """Whether texts of ``size`` and ``b_size`` elements can be similar that share the element at ``place`` and ``b_place``
+    of a common order: what they share lies before that element in both, is it, or lies behind it in both."""
+    before, behind = F.least("place", "b_place"), F.least(F.col("size") - F.col("place"), F.col("b_size") - F.col("b_place"))
+    return (F.least("size", "b_size") >= least * F.greatest("size", "b_size") - 1e-9) & (before + behind >= least / (1 + least) * (F.col("size") + F.col("b_size")) - 1e-9)
 
 
 def _similar(pairs: DataFrame, least: float) -> DataFrame:
@@ -242,9 +253,10 @@ def links(nodes: DataFrame, docs: DataFrame, least: float, width: int) -> tuple[
     """(a, b) of verified links between distinct texts, and (key, root) of what they connect.
 
     ``nodes``: key, bands, and id and hash of one text that has the key. In each round members are compared with
-    their bucket's leads: one at first, and members that are by now connected with it are done there. The others meet
-    by their rarest shingles, of which similar texts share one for certain, so that texts which share a passage, or are
-    not quite similar enough, hardly meet. There rounds go on with one lead, then four times as many each time, until all are done.
+    their bucket's leads, one at first; then the leads are done there, and a bucket is done if the others are all connected.
+    All others of a bucket that is not, connected with the lead or not, meet by their rarest shingles, of which similar texts share
+    one for certain, so that texts which share a passage, or are not quite similar enough, hardly meet. There rounds go on with one
+    lead, then four times as many each time, or at once with all where the pairs are few, until all buckets are done.
     """
     members = nodes.select(F.explode("bands").alias("bucket"), "key")
     several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -257,13 +269,14 @@ def links(nodes: DataFrame, docs: DataFrame, least: float, width: int) -> tuple[
     sizes = lambda m: m.groupBy("bucket").agg(F.count("*").alias("n"), F.min("order").alias("first"), ends.alias("roots")).where("roots.low != roots.high").drop("roots")
     members = common.written(members.join(sizes(members), "bucket"), "buckets")
     sets = common.written(_elements(docs, nodes.join(members.select("key").distinct(), "key", "left_semi").select("doc_id", "h"), width), "shingles")
-    found, leads, by_element = None, 1, False
+    found, leads, places = None, 1, []
     while True:
         # The first of the order leads, and by their hash about ``leads`` members less one.
         share = F.pmod("order.tie", F.lit(1 << 30)) < F.lit(float(1 << 30)) * max(0, leads - 1) / F.col("n")
         members = members.withColumn("leads", share | (F.col("order") == F.col("first")))
-        lead = members.where("leads").select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"))
-        met = members.select("bucket", F.col("key").alias("a"), "root", "leads").join(lead, "bucket").where("root != b_root and (not leads or a > b)")
+        lead = members.where("leads").select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"), *[F.col(c).alias(f"b_{c}") for c in places])
+        met = members.select("bucket", F.col("key").alias("a"), "root", "leads", *places).join(lead, "bucket").where("root != b_root and (not leads or a > b)")
+        met = met.where(_may_be_similar(least)) if places else met
         both = met.select("a", "b").distinct().join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
         both = both.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
         linked = common.written(_similar(both, least), "links")
@@ -271,18 +284,19 @@ def links(nodes: DataFrame, docs: DataFrame, least: float, width: int) -> tuple[
             found = linked if found is None else found.unionByName(linked)
             roots = components(found)
         rooted = lambda df: df.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))  # noqa: E731, B023
-        done = rooted(members.where("leads").select("bucket", "key")).select("bucket", "root").distinct()
-        rest = rooted(members.where("not leads").select("bucket", "key", "order")).join(done, ["bucket", "root"], "left_anti")
-        rest = common.written(rest, "rest")
+        # A lead has met all with another root. The others stay, as one may be like another that the lead is not like.
+        rest = common.written(rooted(members.where("not leads").select("bucket", "key", "order", *places)), "rest")
         members = rest.join(sizes(rest), "bucket")
-        if leads == 1 and not by_element:
-            # What is left shares passages, or is nearly similar enough: it meets again in its rarest shingles.
-            left = members.select("key", "order").distinct()
-            rest, by_element, leads = common.written(rooted(_prefixes(sets, left, least)), "prefixes"), True, 0.25
+        if not places:
+            left = common.written(members.select("key", "order").distinct(), "left")
+            rest, places, leads = common.written(rooted(_prefixes(sets, left, least)), "prefixes"), ["size", "place"], 0.25
             members = rest.join(sizes(rest), "bucket")
         members = common.written(members, "buckets")
-        if members.isEmpty():
+        count, pairs = members.agg(F.count("*"), F.sum("n")).first()
+        if not count:
             return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), roots
+        if pairs <= max(FEW_PAIRS, 8 * count):
+            leads = 1 << 40
         leads *= 4
 
 

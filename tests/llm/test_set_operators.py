@@ -213,6 +213,21 @@ def test_classes_are_those_of_brute_force(spark, make):
     assert kept == set(got.values())
 
 
+def test_chains_of_copies_are_whole_classes(make):
+    """Copies of copies, each like the one before and few others: a text that meets its lead goes on to meet the others."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(60):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        for _ in range(10):
+            rows.append((len(rows), " ".join(text)))
+            for _ in range(2):
+                text[rng.randrange(5, 95)] = f"w{rng.randrange(10**6)}"
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(make(rows)).collect()}
+    want = {rows[i][0]: min(rows[j][0] for j in g) for g in brute_classes(rows).values() for i in g}
+    assert len(set(want.values())) < 90 and got == want
+
+
 def test_odd_near_duplicates(make):
     got = neardup.classes(make(ODD, clash=["key", "class_id", "h"])).collect()
     assert len(got) == len(ODD)
