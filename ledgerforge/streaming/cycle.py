@@ -32,21 +32,22 @@ def swapped(df: DataFrame, path: str, versions: str) -> None:
 
 
 def ingest(stream: DataFrame, path: str, late_path: str, checkpoint: str, as_of: Callable[[], Column]) -> StreamingQuery:
-    """Transactions once each: repeats within the window are dropped by the stream, older ones by the sink; rows that are
-    older than the window at ``as_of`` are kept aside, not lost."""
-    once = stream.withWatermark("created_at", WINDOW).dropDuplicatesWithinWatermark(["tx_id"])
+    """Transactions once each, as the sink takes an id only once; rows that are older than the window at ``as_of`` or have no
+    time or id are kept aside, not lost. The stream has no watermark, which would drop late rows before they are seen."""
 
     def put(batch: DataFrame, number: int) -> None:
         edge = as_of() - F.expr(f"INTERVAL {WINDOW}")
         rows = batch.withColumn("arrival", F.lit(number)).persist()
-        rows.where(F.col("created_at") < edge).drop("arrival").write.mode("append").parquet(late_path)
-        fresh = rows.where(F.col("created_at") >= edge)
+        in_time = F.coalesce((F.col("created_at") >= edge) & F.col("tx_id").isNotNull(), F.lit(False))
+        rows.where(~in_time).drop("arrival").write.mode("append").parquet(late_path)
+        # Of an id's rows in one batch the earliest counts.
+        fresh = rows.where(in_time).withColumn("arrival", F.struct("arrival", "created_at"))
         held = read_table(batch.sparkSession, path, batch.schema)
-        new = m.insert_ignore(held if held is not None else batch.limit(0), fresh, ["tx_id", "created_at"])
+        new = m.insert_ignore(held if held is not None else batch.limit(0), fresh, ["tx_id"])
         new.select(*batch.columns).write.mode("append").parquet(path)
         rows.unpersist()
 
-    return once.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def tumbling_counts(stream: DataFrame, unit: str = "1 minute", late: str = "10 minutes") -> DataFrame:

@@ -31,6 +31,21 @@ def test_ingest_replay_and_late_rows(spark, tmp_path):
     assert spark.read.parquet(sink).count() == 6
 
 
+def test_late_rows_of_a_second_batch(spark, tmp_path):
+    now = dt.datetime(2026, 8, 10)
+    src, sink, late, ck = (f"file://{tmp_path}/{x}" for x in ("src", "sink", "late", "ck"))
+    for rows in (
+        [("t0", now, 1.0), ("t1", now - dt.timedelta(hours=1), 1.0)],
+        [("t2", now, 1.0), ("t1", now - dt.timedelta(hours=2), 1.0), ("old", now - dt.timedelta(hours=80), 2.0), ("timeless", None, 3.0), (None, now, 4.0)],
+        [("older", now - dt.timedelta(hours=200), 5.0)],
+    ):
+        _write(spark, rows, src)
+        stream = spark.readStream.schema(SCHEMA).json(src)
+        cycle.ingest(stream, sink, late, ck, lambda: F.lit(now).cast("timestamp")).awaitTermination(120)
+    assert sorted(r["tx_id"] for r in spark.read.parquet(sink).collect()) == ["t0", "t1", "t2"]
+    assert sorted((r["tx_id"] or "", r["money"]) for r in spark.read.parquet(late).collect()) == [("", 4.0), ("old", 2.0), ("older", 5.0), ("timeless", 3.0)]
+
+
 def test_hour_counts(spark, sf_dir, tmp_path):
     rows = fixtures.tx_live(spark, sf_dir).select(F.col("created_at").cast("timestamp").alias("created_at"))
     rows.coalesce(1).write.parquet(f"file://{tmp_path}/in")
