@@ -2,9 +2,9 @@
 
 Word unigrams and bigrams are counted exactly over all training texts by a shuffle. A count is quantised to
 a level, and the filter holds an n-gram once for each level up to its own, so probing level after level until
-one is missing gives the level back. The filter has a fixed number of bits, cut into segments by n-gram
-hash; each segment is filled by the task that counts its n-grams, and the whole is broadcast. Probabilities
-interpolate: bigrams that were seen more than once, and for the rest of a context's mass the add-one unigram.
+one is missing gives the level back. The filter is cut into segments by n-gram hash; each is filled by the task that
+counts its n-grams, with so many bits for each of its entries that false hits are as rare at every size, and the
+whole is broadcast. Probabilities interpolate: all bigrams that were seen, and for the rest of a context's mass the add-one unigram.
 
 Exact unigram counts (the base score) come from a bounded table of the commonest words, broadcast; what other
 words a document holds is joined with the count table.
@@ -25,7 +25,9 @@ from ledgerforge.llm import common
 
 SEGMENTS = 4096
 PROBES = 3
-#: Levels of unigrams go up by a factor of sqrt(2), those of bigrams by 2; a bigram seen once is level 0.
+#: Bits of the filter for each n-gram and level that it holds: 1.7 % of probes for an absent one hit.
+ENTRY_BITS = 10
+#: Levels of unigrams go up by a factor of sqrt(2), those of bigrams by 2; level 1 is a count of one.
 MOST_LEVELS = 128
 END = common.hash_strings(["\n"])[0]
 #: Words whose counts are broadcast: 16 MB at most. Others are joined.
@@ -35,12 +37,12 @@ HEAVY = 1 << 20
 @dataclass
 class Model:
     counts: DataFrame  # h, n of each training token
-    filled: np.ndarray  # the filter's bytes
+    filled: tuple[np.ndarray, np.ndarray]  # the filter's bytes, and where each segment starts and the last ends
     heavy: tuple[np.ndarray, np.ndarray]  # hashes, sorted, and counts of the commonest tokens
     tokens: int
     distinct: int
     mass: float  # of all unigrams as the filter gives them back
-    seen: np.ndarray  # by level of the context: share of its tokens whose bigram is in the filter
+    seen: np.ndarray  # by level of the context: share of its mass that seen bigrams have
 
 
 def token_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,57 +69,55 @@ def bigrams(tokens: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def level_of(n: np.ndarray, bigram: np.ndarray) -> np.ndarray:
     log = np.log2(np.maximum(n, 1).astype(np.float64)) + 1e-12
-    return np.where(bigram, np.floor(log), 1 + np.floor(2 * log)).astype(np.int64)
+    return 1 + np.where(bigram, np.floor(log), np.floor(2 * log)).astype(np.int64)
 
 
 def count_of(level: np.ndarray, bigram: bool) -> np.ndarray:
     """The count that a level stands for: the geometric middle; 0 for what is not in the filter."""
     level = level.astype(np.float64)
-    if bigram:
-        return np.where(level > 0, 2.0 ** (level + 0.5), 0.0)
-    return np.where(level > 1, 2.0 ** ((level - 1) / 2 + 0.25), level)
+    return np.where(level > 1, 2.0 ** (level - 0.5 if bigram else (level - 1) / 2 + 0.25), level)
 
 
 def _bits(h: np.ndarray, level: int) -> np.ndarray:
-    """One word for each n-gram and level; 16 bits of it for each probe."""
+    """One word for each n-gram and level; its halves give the places of all probes."""
     with np.errstate(over="ignore"):
         return common.mix(h + np.uint64(0xD6E8FEB86659FD93) * np.uint64(level))
 
 
-def _place(bits: np.ndarray, probe: int, mask: int) -> np.ndarray:
-    """Bit of a probe inside the n-gram's segment."""
-    return (bits >> np.uint64(20 * probe)) & np.uint64(mask)
+def _place(bits: np.ndarray, probe: int, size: np.ndarray | np.uint64) -> np.ndarray:
+    """Bit of a probe inside the n-gram's segment of ``size`` bits, at most 2 ** 32."""
+    half = np.uint64(0xFFFFFFFF)
+    return (((bits & half) + np.uint64(probe) * ((bits >> np.uint64(32)) | np.uint64(1)) & half) * size) >> np.uint64(32)
 
 
-def levels(filled: np.ndarray, h: np.ndarray) -> np.ndarray:
+def _hits(filled: tuple[np.ndarray, np.ndarray], h: np.ndarray, level: int) -> np.ndarray:
+    """Which of the n-grams have the level."""
+    data, starts = filled
+    segment = (h & np.uint64(SEGMENTS - 1)).astype(np.int64)
+    base = starts[segment]
+    left, bits, size = np.arange(len(h)), _bits(h, level), (starts[segment + 1] - base).astype(np.uint64) * np.uint64(8)
+    some = np.flatnonzero(size)
+    if len(some) < len(left):
+        left, bits, base, size = left[some], bits[some], base[some], size[some]
+    for probe in range(PROBES):
+        at = _place(bits, probe, size)
+        hit = np.flatnonzero((data[base + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
+        left, bits, base, size = left[hit], bits[hit], base[hit], size[hit]
+    return left
+
+
+def levels(filled: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> np.ndarray:
     """Levels of n-grams, by probing from level 1 until a probe misses."""
     out = np.zeros(len(h), np.int64)
-    left, size = np.arange(len(h)), len(filled) // SEGMENTS
+    left = np.arange(len(h))
     for level in range(1, MOST_LEVELS):
-        own = h[left]
-        bits, base = _bits(own, level), (own & np.uint64(SEGMENTS - 1)) * np.uint64(size)
-        for probe in range(PROBES):
-            at = _place(bits, probe, size * 8 - 1)
-            hit = np.flatnonzero((filled[base + (at >> np.uint64(3))] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
-            left, bits, base = left[hit], bits[hit], base[hit]
+        left = left[_hits(filled, h[left], level)]
         if not len(left):
             break
         out[left] = level
     return out
 
 
-def present(filled: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether n-grams have level 1."""
-    out, size = np.zeros(len(h), bool), len(filled) // SEGMENTS
-    left, bits, base = np.arange(len(h)), _bits(h, 1), (h & np.uint64(SEGMENTS - 1)) * np.uint64(size)
-    for probe in range(PROBES):
-        at = _place(bits, probe, size * 8 - 1)
-        hit = np.flatnonzero((filled[base + (at >> np.uint64(3))] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
-        left, bits, base = left[hit], bits[hit], base[hit]
-    out[left] = True
-    return out
-
-
 def _rows(h: np.ndarray, n: np.ndarray, bigram: bool, size: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(h), size):
         x = h[i : i + size]
@@ -154,47 +154,37 @@ def _counted(stream: Iterator[pa.RecordBatch], room: int = 1 << 21) -> Iterator[
     yield from sent()
 
 
-def fit(docs: DataFrame, bits: int = 1 << 28) -> Model:
-    """Learn from all ``text`` of ``docs`` (null: empty). ``bits`` is the size of the filter (32 MiB; a power of two up to
-    2 ** 32), whatever the corpus; with more n-grams it gives more of them back a level too high."""
+def fit(docs: DataFrame) -> Model:
+    """Learn from all ``text`` of ``docs`` (null: empty). The filter grows with the n-grams: ``ENTRY_BITS`` for each level of each."""
     spark = docs.sparkSession
     common.small_batches(spark)
     counts = docs.select("text").mapInArrow(_counted, "segment int, bigram boolean, h long, n long")
     # Tasks have summed already; a segment's n-grams meet in one partition.
     counts = counts.repartition("segment").groupBy("segment", "bigram", "h").agg(F.sum("n").alias("n"))
-    counts = counts.where("not bigram or n > 1")
-
-    size = bits // SEGMENTS // 8
 
     def fill(stream):
-        by: dict[int, np.ndarray] = {}
-        for segment, bigram, h, n in _slabs(stream):
-            level = level_of(n, bigram)
-            own, slot = np.unique(segment, return_inverse=True)
-            part = np.zeros((len(own), size), np.uint8)
-            flat = part.reshape(-1)
-            left = np.flatnonzero(level > 0)
-            for j in range(1, MOST_LEVELS):
-                if not len(left):
-                    break
-                word, base = _bits(h[left], j), slot[left] * size
-                for probe in range(PROBES):
-                    at = _place(word, probe, size * 8 - 1)
-                    np.bitwise_or.at(flat, base + (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-                left = left[level[left] > j]
-            for i, s in enumerate(own):
-                by[int(s)] = by[int(s)] | part[i] if int(s) in by else part[i]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, bigram, h, n in _slabs(stream):
+            held.append((h, level_of(n, bigram).astype(np.uint8)))
             one = ~bigram
             k = int(one.sum())
             yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.array(common.long_signed(h[one])), pa.array(n[one])], names=["segment", "bits", "h", "n"])
-        for s, x in by.items():
+        if not held:
+            return
+        h, level = (np.concatenate(x) for x in zip(*held, strict=True))
+        segment = (h & np.uint64(SEGMENTS - 1)).astype(np.int16)
+        order = np.argsort(segment, kind="stable")
+        own, first = np.unique(segment[order], return_index=True)
+        for s, at in zip(own.tolist(), np.split(order, first[1:]), strict=True):
+            x = _filled(h[at], level[at])
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([x.tobytes()]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=["segment", "bits", "h", "n"])
 
     both = common.written(counts.mapInArrow(fill, "segment int, bits binary, h long, n long"), "ngrams")
-    filled = np.zeros(bits // 8, np.uint8)
-    for r in both.where("segment is not null").select("segment", "bits").toLocalIterator():  # the filter, of fixed size
-        x = np.frombuffer(r["bits"], np.uint8)
-        filled[r["segment"] * len(x) : (r["segment"] + 1) * len(x)] = x
+    parts = {r["segment"]: np.frombuffer(r["bits"], np.uint8) for r in both.where("segment is not null").select("segment", "bits").toLocalIterator()}
+    none = np.zeros(0, np.uint8)
+    whole = [parts.pop(s, none) for s in range(SEGMENTS)]
+    filled = (np.concatenate(whole), np.append(0, np.cumsum([len(x) for x in whole])))
+    del whole
     counts = both.where("segment is null").select("h", "n")
     by_level = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()
     quantised = counts.groupBy((1 + F.floor(2 * F.log2("n") + 2e-12)).alias("level")).agg(F.count("*").alias("words")).collect()
@@ -215,6 +205,21 @@ def fit(docs: DataFrame, bits: int = 1 << 28) -> Model:
     return model
 
 
+def _filled(h: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The bytes of one segment."""
+    out = np.zeros((int(level.sum(dtype=np.int64)) * ENTRY_BITS + 7) // 8, np.uint8)
+    size = np.uint64(len(out) * 8)
+    for j in range(1, MOST_LEVELS):
+        h, level = h[level >= j], level[level >= j]
+        if not len(h):
+            break
+        word = _bits(h, j)
+        for probe in range(PROBES):
+            at = _place(word, probe, size)
+            np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    return out
+
+
 def _slabs(stream: Iterator[pa.RecordBatch], rows: int = 1 << 19) -> Iterator[list[np.ndarray]]:
     """Columns of many batches together."""
     held, n = [], 0
@@ -234,8 +239,9 @@ def _joined(held: list[pa.RecordBatch]) -> list[np.ndarray]:
     return [segment, bigram, h.view(np.uint64), n]
 
 
-def _seen(docs: DataFrame, filled: np.ndarray) -> np.ndarray:
-    """By level of the context, the share of training tokens whose bigram is in the filter."""
+def _seen(docs: DataFrame, filled: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """By level of the context, the share of its mass that seen bigrams have: n of n tokens and those of them whose bigram
+    was seen once, as often as which a new one is expected."""
     shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(stream):
@@ -244,14 +250,14 @@ def _seen(docs: DataFrame, filled: np.ndarray) -> np.ndarray:
             tokens, _, words = token_stream(batch.column(0))
             level = levels(shared.value, words)
             context = np.append(level[-1:], level[tokens[:-1]])
-            known = present(shared.value, bigrams(tokens, words))
+            known = _hits(shared.value, bigrams(tokens, words), 2)
             total += np.bincount(context, minlength=MOST_LEVELS)
             hit += np.bincount(context[known], minlength=MOST_LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(MOST_LEVELS)), pa.array(total), pa.array(hit)], names=["level", "total", "hit"])
 
     out = np.zeros(MOST_LEVELS)
     for r in docs.select("text").mapInArrow(run, "level long, total long, hit long").groupBy("level").agg(F.sum("hit").alias("hit"), F.sum("total").alias("total")).collect():
-        out[r["level"]] = r["hit"] / r["total"] if r["total"] else 0.0
+        out[r["level"]] = r["total"] / (2 * r["total"] - r["hit"]) if r["total"] else 0.0
     return np.minimum(out, 0.99)
 
 
@@ -263,7 +269,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     spark = docs.sparkSession
     common.small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.filled, *model.heavy, model.seen))  # of bounded size
+    shared = spark.sparkContext.broadcast((model.filled, *model.heavy, model.seen))  # the filter grows with the n-grams
     mass, distinct, tokens_in_all = model.mass, model.distinct, model.tokens
 
     def run(stream):

@@ -225,6 +225,18 @@ def test_lm_against_brute_force(spark, sf_dir, make, monkeypatch, heavy):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_bigrams_seen_once_count(make):
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(40)]
+    model = lm.fit(make(docs))
+    words = [f"w{i}x{j}" for i in range(40) for j in range(50)]
+    seen = docs[3][1]
+    mixed = " ".join(f"w{j % 40}x{(j * 7) % 50}" for j in range(50))  # the same kind of words, no training bigram
+    got = {r["doc_id"]: r["score"] for r in lm.score(make([(1, seen), (2, mixed)]), model).collect()}
+    assert len(set(words)) == 2000 and got[1] > got[2] + 50
+    data, starts = model.filled
+    assert len(starts) == lm.SEGMENTS + 1 and len(data) * 8 >= 10 * (2000 * 2)
+
+
 def test_filter_gives_levels_back(make):
     model = lm.fit(make([(i, "one two " * (2**i)) for i in range(8)]))
     h = common.hash_strings(["one", "two", "\n", "never"])
