@@ -7,9 +7,10 @@ under its weights, each dart falls on one of k coordinates, and the earliest of
 documents agree on a coordinate with the probability of their weighted Jaccard similarity. The number of darts
 depends on k alone, as the rank is cut where about k (ln k + 2) darts lie.
 
-Signatures are joined by bands; members of a bucket are compared with a lead exactly. Buckets whose members are
-not all connected by then meet again, whole, by the rarest shingles of their texts: there round follows round, with
-more leads, until every two members of a bucket are connected or were compared.
+Signatures are joined by bands; members of a bucket are compared exactly with its lead, the text that lies most amid
+its like. Buckets whose members are not all connected by then meet again, whole, by the rarest shingles of their texts:
+there every two texts that are not connected and may be similar, by their sizes, the shingles that others have too and
+the places of the shared one, are compared.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,33 +161,35 @@ def signatures(docs: DataFrame, width: int = 5, bands: int = 30, rows: int = 6,
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text), text).mapInArrow(run, "doc_id long, h long, key binary, bands array<long>")
 
 
-#: So many pairs of members, or eight for each member, meet at once.
-FEW_PAIRS = 1 << 20
-#: Bits of the filter that tells which texts a check needs: 16 MiB, whatever the corpus.
+#: Bits of the filter that tells which texts a step needs: 16 MiB, whatever the corpus.
 SIEVE_WORDS = 1 << 21
 
 
 def _sieve(hashes: DataFrame) -> np.ndarray:
     """A filter of the 64-bit hashes ``x``: one bit each."""
     word, bit = F.pmod("x", F.lit(SIEVE_WORDS)).alias("word"), F.shiftrightunsigned("x", 40).bitwiseAND(F.lit(63)).cast("int")
-    rows = hashes.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    rows = hashes.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(SIEVE_WORDS, np.uint64)
     out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-def _elements(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, shingles) of the wanted (doc_id, h): the multiset as sorted hashes, the n-th copy of a shingle as an element of its own.
+def _passes(sieve: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return (sieve[np.mod(x, SIEVE_WORDS)] >> ((x.view(np.uint64) >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) > 0
 
-    Texts stay where they are: a broadcast filter of fixed size picks them. It lets some others pass, which nothing joins.
+
+def _elements(docs: DataFrame, wanted: DataFrame, width: int, text: str = "text") -> DataFrame:
+    """(key, shingles) of the wanted rows: the multiset as sorted hashes, the n-th copy of a shingle as an element of its own.
+
+    ``wanted`` holds ``x``, a hash of id and text hash. Texts stay where they are: a broadcast filter of fixed size picks them. It
+    lets some others pass, which nothing joins.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted.select(F.xxhash64("doc_id", "h").alias("x"))))
+    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
 
     def run(stream):
         for batch in common.batches(stream):
-            x = batch.column(0).to_numpy()
-            hit = (shared.value[np.mod(x, SIEVE_WORDS)] >> ((x.view(np.uint64) >> np.uint64(40)) & np.uint64(63))) & np.uint64(1)
-            texts = batch.column(1).take(pa.array(np.flatnonzero(hit)))
+            texts = batch.column(1).take(pa.array(np.flatnonzero(_passes(shared.value, batch.column(0).to_numpy()))))
             if not len(texts):
                 continue
             keys, counts, starts, owner = shingles(texts, width)
@@ -195,48 +199,61 @@ def _elements(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 values = np.where(nth == 0, keys[element], common.mix(keys[element] + nth.astype(np.uint64)))
             ends = np.searchsorted(owner[element], np.arange(len(texts) + 1))
             sets = [np.sort(values[a:b]).tobytes() for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(keys, counts, owner, len(texts)), pa.binary()), pa.array(sets, pa.binary())], names=["key", "shingles"])
+            names = pa.array(_keys(keys, counts, owner, len(texts)), pa.binary())
+            yield pa.RecordBatch.from_arrays([names, pa.array(sets, pa.binary())], names=["key", "shingles"])
 
-    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")), "text").mapInArrow(run, "key binary, shingles binary")
+    rows = docs.select(_row_hash(text), text).mapInArrow(run, "key binary, shingles binary")
     return rows.groupBy("key").agg(F.first("shingles").alias("shingles"))
 
 
+def _row_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(text))
+
+
 def _prefixes(sets: DataFrame, wanted: DataFrame, least: float) -> DataFrame:
-    """(bucket, key, order, size, place) of the wanted (key, order): a bucket for each element of a prefix that another text has too.
+    """(bucket, key, root, size, shared, place) of the wanted (key, root): a bucket for each element of a prefix that another text has too.
 
     The elements of a text are ordered by how many of the wanted texts have them, rarest first. Of n elements the first
     n - ceil(least * n) + 1 are the prefix, and texts of similarity ``least`` or more share an element of their prefixes.
-    ``size`` is n, ``place`` that of the element.
+    ``size`` is n, ``shared`` the number of elements that other texts have too, ``place`` that of the element among these. A text
+    of which few elements are shared has no bucket at all.
     """
 
     def run(stream):
         for batch in common.batches(stream):
-            for key, data in zip(batch.column(0), batch.column(1), strict=True):
+            for key, root, data in zip(*batch.columns, strict=True):
                 x = np.frombuffer(data.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(x), pa.binary()), pa.array(np.full(len(x), len(x))), pa.array(x)], names=["key", "size", "bucket"])
+                names = [pa.array([v.as_py()] * len(x), pa.binary()) for v in (key, root)]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(np.full(len(x), len(x))), pa.array(x)], names=["key", "root", "size", "bucket"])
 
-    elements = sets.join(wanted, "key", "left_semi").select("key", "shingles").mapInArrow(run, "key binary, size long, bucket long")
-    elements = common.written(elements, "elements")
-    counts = elements.groupBy("bucket").agg(F.count("*").alias("texts"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy("texts", "bucket"))  # of one text
-    ranked = elements.join(counts, "bucket").withColumn("place", place)
-    return ranked.where((F.col("place") <= F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1) & (F.col("texts") > 1)).join(wanted, "key").select("bucket", "key", "order", "size", "place")
+    own = sets.join(wanted, "key").select("key", "root", "shingles")
+    elements = common.written(own.mapInArrow(run, "key binary, root binary, size long, bucket long"), "elements")
+    ends = (F.count("*").alias("texts"), F.min("root").alias("low"), F.max("root").alias("high"))
+    counts = elements.groupBy("bucket").agg(*ends).where("texts > 1").select("bucket", "texts", (F.col("low") != F.col("high")).alias("open"))
+    of_text = Window.partitionBy("key")
+    ranked = elements.join(counts, "bucket").withColumns(
+        {"place": F.row_number().over(of_text.orderBy("texts", "bucket")), "shared": F.count("*").over(of_text)}
+    )
+    room = F.col("shared") - F.ceil(least * F.col("size") - 1e-9) + 1  # the prefix less the elements that no other text has
+    return ranked.where((F.col("place") <= room) & F.col("open")).select("bucket", "key", "root", "size", "shared", "place")
 
 
 def _may_be_similar(least: float) -> Column:
     """Whether texts of ``size`` and ``b_size`` elements can be similar that share the element at ``place`` and ``b_place``
     of a common order: what they share lies before that element in both, is it, or lies behind it in both."""
-    before, behind = F.least("place", "b_place"), F.least(F.col("size") - F.col("place"), F.col("b_size") - F.col("b_place"))
-    return (F.least("size", "b_size") >= least * F.greatest("size", "b_size") - 1e-9) & (before + behind >= least / (1 + least) * (F.col("size") + F.col("b_size")) - 1e-9)
+    before = F.least("place", "b_place")
+    behind = F.least(F.col("shared") - F.col("place"), F.col("b_shared") - F.col("b_place"))
+    sizes = F.least("size", "b_size") >= least * F.greatest("size", "b_size") - 1e-9
+    return sizes & (before + behind >= least / (1 + least) * (F.col("size") + F.col("b_size")) - 1e-9)
 
 
-def _similar(pairs: DataFrame, least: float) -> DataFrame:
-    """(a, b) of those of (a, b, x, y) whose weighted Jaccard similarity is at least ``least``."""
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b, a_root, b_root) whose weighted Jaccard similarity is at least ``least``."""
 
     def run(stream):
         for batch in common.batches(stream):
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 small, large = sorted((len(p), len(q)))
                 if small < least * large:
@@ -244,82 +261,96 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
                     continue
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(both >= least * (len(p) + len(q) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1, 2, 3])
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+    found = both.select("a", "b", "a_root", "b_root", "x", "y").mapInArrow(run, "a binary, b binary, a_root binary, b_root binary")
+    return common.written(found, "links")
 
 
 def links(nodes: DataFrame, docs: DataFrame, least: float, width: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of verified links between distinct texts, and (key, root) of what they connect.
+    """(a, b) of verified links between distinct texts, and (key, root) of the texts that they connect.
 
-    ``nodes``: key, bands, and id and hash of one text that has the key. In each round members are compared with
-    their bucket's leads, one at first; then the leads are done there, and a bucket is done if the others are all connected.
-    All others of a bucket that is not, connected with the lead or not, meet by their rarest shingles, of which similar texts share
-    one for certain, so that texts which share a passage, or are not quite similar enough, hardly meet. There rounds go on with one
-    lead, then four times as many each time, or at once with all where the pairs are few, until all buckets are done.
+    ``nodes``: key, bands, and x, the row hash of one text that has the key. First all members of a bucket are compared
+    with its lead. All texts of buckets that are not connected then, whether like the lead or not, meet by their rarest shingles, of
+    which similar texts share one for certain, so that texts which share a passage, or are not quite similar
+    enough, hardly meet; there all pairs with two roots that may be similar are compared. So every pair that shares
+    a bucket is connected, or was compared, or cannot be similar.
     """
-    members = nodes.select(F.explode("bands").alias("bucket"), "key")
+    members = nodes.select(F.explode("bands").alias("bucket"), "key", "x")
     several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = common.written(members.join(several, "bucket"), "members")
-    # A text that lies amid its like shares many large buckets, and leads first.
-    weights = members.groupBy("key").agg(F.struct(-F.sum("n"), F.xxhash64("key").alias("tie")).alias("order"))
-    members = members.drop("n").join(weights, "key").withColumn("root", F.col("key"))
-    # A bucket counts as long as it holds texts that are not connected.
-    ends = F.struct(F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = lambda m: m.groupBy("bucket").agg(F.count("*").alias("n"), F.min("order").alias("first"), ends.alias("roots")).where("roots.low != roots.high").drop("roots")
-    members = common.written(members.join(sizes(members), "bucket"), "buckets")
-    sets = common.written(_elements(docs, nodes.join(members.select("key").distinct(), "key", "left_semi").select("doc_id", "h"), width), "shingles")
-    found, leads, places = None, 1, []
-    while True:
-        # The first of the order leads, and by their hash about ``leads`` members less one.
-        share = F.pmod("order.tie", F.lit(1 << 30)) < F.lit(float(1 << 30)) * max(0, leads - 1) / F.col("n")
-        members = members.withColumn("leads", share | (F.col("order") == F.col("first")))
-        lead = members.where("leads").select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"), *[F.col(c).alias(f"b_{c}") for c in places])
-        met = members.select("bucket", F.col("key").alias("a"), "root", "leads", *places).join(lead, "bucket").where("root != b_root and (not leads or a > b)")
-        met = met.where(_may_be_similar(least)) if places else met
-        both = met.select("a", "b").distinct().join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
-        both = both.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-        linked = common.written(_similar(both, least), "links")
-        if found is None or not linked.isEmpty():
-            found = linked if found is None else found.unionByName(linked)
-            roots = components(found)
-        rooted = lambda df: df.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))  # noqa: E731, B023
-        # A lead has met all with another root. The others stay, as one may be like another that the lead is not like.
-        rest = common.written(rooted(members.where("not leads").select("bucket", "key", "order", *places)), "rest")
-        members = rest.join(sizes(rest), "bucket")
-        if not places:
-            left = common.written(members.select("key", "order").distinct(), "left")
-            rest, places, leads = common.written(rooted(_prefixes(sets, left, least)), "prefixes"), ["size", "place"], 0.25
-            members = rest.join(sizes(rest), "bucket")
-        members = common.written(members, "buckets")
-        count, pairs = members.agg(F.count("*"), F.sum("n")).first()
-        if not count:
-            return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), roots
-        if pairs <= max(FEW_PAIRS, 8 * count):
-            leads = 1 << 40
-        leads *= 4
+    # A text that lies amid its like shares many large buckets, and leads.
+    order = F.struct((-F.sum("n")).alias("weight"), F.xxhash64("key").alias("tie")).alias("order")
+    weights = common.written(members.groupBy("key").agg(order, F.min("x").alias("x")), "weights")
+    sets = common.written(_elements(docs, weights.select("x"), width), "shingles")
+    members = members.select("bucket", "key").join(weights.select("key", "order"), "key")
+    lead = members.groupBy("bucket").agg(F.min(F.struct("order", "key"))["key"].alias("b"))
+    met = members.join(lead, "bucket").where("key != b").select(F.col("key").alias("a"), "b").distinct()
+    first = _similar(met.select("a", "b", F.col("a").alias("a_root"), F.col("b").alias("b_root")), sets, least)
+    roots = common.written(components(first.select("a", "b")), "roots")
+
+    # What is not connected by now, bucket by bucket.
+    rooted = members.select("bucket", "key").join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
+    left = common.written(rooted.join(open_, "bucket").select("key", "root").distinct(), "left")
+    places = common.written(_prefixes(sets, left, least), "prefixes")
+    other = places.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("key", "root", "size", "shared", "place")])
+    met = places.join(other, "bucket").where(F.col("key") < F.col("b_key")).where(F.col("root") != F.col("b_root")).where(_may_be_similar(least))
+    met = met.select(F.col("key").alias("a"), F.col("b_key").alias("b"), F.col("root").alias("a_root"), "b_root").distinct()
+    second = _similar(met, sets, least)
+
+    # Their roots are connected in turn.
+    tops = components(second.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    tops = tops.select(F.col("key").alias("root"), F.col("root").alias("top"))
+    known = roots.unionByName(tops.select(F.col("root").alias("key"), "root"))  # roots are not listed with themselves
+    found = known.join(tops, "root", "left").select("key", F.coalesce("top", "root").alias("root")).distinct()
+    return first.select("a", "b").unionByName(second.select("a", "b")), found
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(key, root) of the nodes of (a, b) edges that are not roots: alternating large-star and small-star steps until no edge moves.
-
-    Each step takes minima of neighbours only, so a node with very many neighbours is aggregated like any other.
-    """
+    """(key, root) of the nodes of (a, b) edges that are not roots: large-star and small-star steps in turn until all edges
+    lead to a root. Each step takes minima of neighbours only, so a node with very many neighbours is aggregated like any other."""
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-    total = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    mark = total(now)
-    while True:
+    now = common.written(now, "edges")
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
-        now = common.written(small, "stars")
-        state = total(now)
-        if state == mark:
-            return now.select(F.col("a").alias("key"), F.col("b").alias("root"))  # roots themselves are not listed
-        mark = state
+        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
+        now = common.written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "stars")
+    return now.select(F.col("a").alias("key"), F.col("b").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge down, or none and some up."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("key"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("key"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+    ends = ends.groupBy("e.key").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+    return not ends.where("up > 1 or up = 1 and down = 1").agg(F.count("*")).first()[0]
+
+
+def grouped(docs: DataFrame, least: float = 0.8, width: int = 5, bands: int = 30, rows: int = 6, text: str = "text") -> DataFrame:
+    """(doc_id, h, kept, class_id, links, members) of each row of ``docs``, as ``classes``, with a hash of the text, and id and text hash of
+    the row that stands for the class (null without a word)."""
+    signed = common.written(signatures(docs, width, bands, rows, text), "signatures")
+    named = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h").alias("one")
+    nodes = signed.where("key is not null").groupBy("key").agg(F.min(named).alias("one"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
+    nodes = common.written(nodes.withColumn("x", F.xxhash64("one.doc_id", "one.h")), "nodes")
+    linked, roots = links(nodes.select("key", "bands", "x"), docs, least, width)
+    degree = linked.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))
+    roots = roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
+    roots = common.written(nodes.select("key", "one", "copies").join(roots, "key").join(degree, "key"), "classes")
+    top = roots.groupBy("root").agg(F.min("one").alias("kept"), F.sum("copies").alias("members"))
+    in_classes = roots.join(top, "root").select("key", "kept", "links", "members")
+    alone = nodes.select("key", "one", "copies").join(in_classes, "key", "left")
+    alone = alone.select("key", F.coalesce("kept", "one").alias("kept"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("members", "copies").alias("members"))
+    found = signed.select("doc_id", "h", "key").join(alone, "key", "left")
+    return found.select(
+        "doc_id", "h", "kept", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("kept.doc_id")).alias("class_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("links"), F.coalesce("members", F.lit(1)).cast("long").alias("members"),
+    )
 
 
 def classes(docs: DataFrame, least: float = 0.8, width: int = 5, bands: int = 30, rows: int = 6) -> DataFrame:
@@ -331,23 +362,26 @@ def classes(docs: DataFrame, least: float = 0.8, width: int = 5, bands: int = 30
     compared without ASCII case and whatever the white space. Repeated rows are members each; null ids stay (the class is then named by
     its least id that is not null, if any). Other columns are ignored.
     """
-    signed = common.written(signatures(docs, width, bands, rows), "signatures")
-    known = signed.where("key is not null")
-    counts = known.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
-    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "bands")).alias("one")
-    nodes = common.written(known.groupBy("key").agg(one).select("key", "one.doc_id", "one.h", "one.bands"), "nodes")
-    linked, roots = links(nodes, docs, least, width)
-    degree = linked.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))
-    named = counts.join(roots, "key", "left").join(degree, "key", "left")
-    named = named.withColumn("root", F.coalesce("root", "key"))
-    top = named.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("members"))
-    by_key = named.select("key", "root", F.coalesce("links", F.lit(0)).alias("links")).join(top, "root").select("key", "class_id", "links", "members")
-    found = signed.select("doc_id", "key").join(by_key, "key", "left")
-    return found.select("doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"), F.coalesce("members", F.lit(1)).cast("long").alias("members"))
+    return grouped(docs, least, width, bands, rows).select("doc_id", "class_id", "links", "members")
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """One document of each class stays, that with the class's id; wordless texts and null ids all stay."""
-    found = classes(docs)
-    gone = found.where("doc_id != class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class stays: that with the least id (null ids last) and, where several texts of the class have that id, the least text
+    hash; of rows with one id and text one stays, that of the least hash of all columns. So an id with two texts may keep both, one or none.
+    Null, empty and wordless texts all stay. Columns may have any names; no text moves but those of rows in question."""
+    found = grouped(docs).where("kept is not null")
+    gone = ~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("h") == F.col("kept.h")))
+    asked = found.groupBy("doc_id", "h").agg(F.max(gone).alias("gone"), F.count("*").alias("rows")).where("gone or rows > 1")
+    asked = common.written(asked.select(F.col("doc_id").alias("i"), F.col("h").alias("t"), "gone"), "in-question")
+    shared = docs.sparkSession.sparkContext.broadcast(_sieve(asked.select(F.xxhash64("i", "t").alias("x"))))
+
+    @F.pandas_udf("boolean")
+    def in_question(x: pd.Series) -> pd.Series:
+        return pd.Series(_passes(shared.value, x.to_numpy()))
+
+    every = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
+    every = every.withColumn("asked", in_question(F.xxhash64("doc_id", "h")))
+    known = every.where("asked").join(asked, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t")), "left").where("gone is null or not gone")
+    once = F.row_number().over(Window.partitionBy("doc_id", "h").orderBy(F.xxhash64("row")))
+    known = known.withColumn("place", once).where((F.col("place") == 1) | F.col("gone").isNull())
+    return every.where("not asked").select("row.*").unionByName(known.select("row.*"))
