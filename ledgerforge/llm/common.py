@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,8 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that Spark hands to Python at once; documents can be long, so fewer than Spark's 10000.
-BATCH_ROWS = 1000
+#: Rows and bytes that Spark hands to Python at once; documents can be long, so fewer than Spark's 10000.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 _LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -24,15 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bound what a Python worker holds at once, by rows and bytes. The settings are read when a query runs, so they stay; a session that
+    has smaller bounds keeps them."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        held = spark.conf.get(f"spark.sql.execution.arrow.{name}")
+        if not held.isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share. On one machine (tests) a temporary one serves where none is set; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='spark-ckpt-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -151,3 +157,22 @@ def long_signed(x: np.ndarray) -> np.ndarray:
 def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches that have rows."""
     return (b for b in stream if b.num_rows)
+
+
+#: Bits of a sieve: 16 MiB, whatever the corpus.
+SIEVE_WORDS = 1 << 21
+
+
+def sieve(hashes: DataFrame) -> np.ndarray:
+    """A filter of fixed size of the 64-bit hashes ``x``, one bit each: it passes all of them, and others by chance."""
+    word, bit = F.pmod("x", F.lit(SIEVE_WORDS)).alias("word"), F.shiftrightunsigned("x", 40).bitwiseAND(F.lit(63)).cast("int")
+    rows = hashes.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(SIEVE_WORDS, np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def sieved(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of the hashes pass."""
+    return (bits[np.mod(x, SIEVE_WORDS)] >> ((x.view(np.uint64) >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) > 0

@@ -1,9 +1,10 @@
 """Media columns as content-defined chunks.
 
 A payload is cut where a rolling gear hash of its last 32 bytes hits a mask, so equal passages give
-equal chunks wherever they stand. Chunks are named by digest; a Spark aggregation keeps each once (the
-store), and the ordered chunk lists of the media are joined with the store to read payloads back, every
-chunk and the whole verified. The stored form of a medium is its list of digests and lengths followed by
+equal chunks wherever they stand. Chunks are named by digest. The digests of all ordered chunk lists are counted;
+a Spark aggregation keeps each chunk that is listed more than once (the store), and the lists are joined with it.
+A chunk that is listed once goes straight to its medium. So payloads are read back, every chunk and the whole
+verified. The stored form of a medium is its list of digests and lengths followed by
 its distinct chunks as raw 8-bit samples; between tasks chunks travel compressed.
 """
 
@@ -102,67 +103,99 @@ def sample(docs: DataFrame, buckets: int = 96, snippet: int = 1024) -> bytes:
     return "\n".join(r["t"] for r in sorted(found, key=lambda r: r["h"])).encode()
 
 
-def _chunk_rows(known: bytes | None):
-    """Chunks of the distinct payloads of a batch; with their compressed bytes if there is a dictionary."""
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = None
-        if known is not None:
-            words = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            pack = zstandard.ZstdCompressor(level=6, dict_data=words, write_dict_id=False, write_checksum=False)
-        for batch in common.batches(stream):
-            rows: list[tuple] = []
-            seen: set[bytes] = set()
-            for text in batch.column(0).to_pylist():
-                payload = padded((text or "").encode())
-                key = hashlib.sha256(payload).digest()
-                if key in seen:
-                    continue
+def _distinct_payloads(stream: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, list[bytes]]]]:
+    """Name and chunks of the payloads of each batch that the task has not met before."""
+    seen: set[bytes] = set()
+    for batch in common.batches(stream):
+        out = []
+        for text in batch.column(0).to_pylist():
+            payload = padded((text or "").encode())
+            key = hashlib.sha256(payload).digest()
+            if key not in seen:
                 seen.add(key)
-                for i, part in enumerate(chunks(payload)):
-                    name = digest(part)
-                    if pack is None:
-                        rows.append((key, i, name))
-                    elif name not in seen:
-                        seen.add(name)
-                        rows.append((name, pack.compress(part)))
-            kinds = (pa.binary(), pa.int32(), pa.binary()) if pack is None else (pa.binary(), pa.binary())
-            names = ["media", "at", "digest"] if pack is None else ["digest", "data"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+                out.append((key, chunks(payload)))
+        yield out
+
+
+def _rows(rows: list[tuple], **kinds: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
+
 
-    return run
+def _packer(words: bytes) -> zstandard.ZstdCompressor:
+    known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=6, dict_data=known, write_dict_id=False, write_checksum=False)
 
 
 def media(docs: DataFrame, text: str = "text") -> DataFrame:
     """(media, payload_bytes, tail_crc32, media_bytes, media_sha256, feature) of each distinct payload, read back from the store.
 
     ``media`` is the sha256 of the payload as written; that read back is compared with it, and a payload that differs raises.
+    Which chunks are listed more than once, a filter of fixed size tells; a chunk that it takes for one of them goes by the
+    store too, with the same result.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     docs = docs.select(F.col(text).alias("text"))
     known = sample(docs)
-    store = docs.mapInArrow(_chunk_rows(known), "digest binary, data binary").groupBy("digest").agg(F.first("data").alias("data"))
-    lists = docs.mapInArrow(_chunk_rows(None), "media binary, at int, digest binary").distinct()
-    parts = lists.join(store, "digest").groupBy("media").agg(F.collect_list(F.struct("at", "data")).alias("parts"))
+
+    def lists(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for payloads in _distinct_payloads(stream):
+            rows = [(key, i, name, _word(name)) for key, parts in payloads for i, name in enumerate(map(digest, parts))]
+            yield _rows(rows, media=pa.binary(), at=pa.int32(), digest=pa.binary(), x=pa.int64())
+
+    listed = common.written(docs.mapInArrow(lists, "media binary, at int, digest binary, x long"), "chunk-lists")
+    several = listed.groupBy("digest").agg(F.min("x").alias("x"), F.count("*").alias("n")).where("n > 1")
+    shared = spark.sparkContext.broadcast(common.sieve(several.select("x")))
+
+    def stored_apart(names: list[bytes]) -> list[bool]:
+        return common.sieved(shared.value, np.array([_word(n) for n in names], np.int64)).tolist()
+
+    def once(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = _packer(known)
+        for payloads in _distinct_payloads(stream):
+            rows = [(key, i, part) for key, parts in payloads for i, part in enumerate(parts)]
+            apart = stored_apart([digest(part) for _, _, part in rows])
+            rows = [(key, i, pack.compress(part)) for (key, i, part), a in zip(rows, apart, strict=True) if not a]
+            yield _rows(rows, media=pa.binary(), at=pa.int32(), data=pa.binary())
+
+    def often(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, sent = _packer(known), set()
+        for payloads in _distinct_payloads(stream):
+            fresh = {digest(part): part for _, parts in payloads for part in parts}
+            names = [n for n, apart in zip(fresh, stored_apart(list(fresh)), strict=True) if apart and n not in sent]
+            sent.update(names)
+            yield _rows([(n, pack.compress(fresh[n])) for n in names], digest=pa.binary(), data=pa.binary())
+
+    def of_store(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.batches(stream):
+            yield batch.filter(pa.array(common.sieved(shared.value, batch.column(3).to_numpy()))).select([0, 1, 2])
+
+    store = docs.mapInArrow(often, "digest binary, data binary").groupBy("digest").agg(F.first("data").alias("data"))
+    shared_parts = listed.mapInArrow(of_store, "media binary, at int, digest binary").distinct().join(store, "digest").select("media", "at", "data")
+    parts = docs.mapInArrow(once, "media binary, at int, data binary").unionByName(shared_parts)
+    parts = parts.groupBy("media").agg(F.collect_list(F.struct("at", "data")).alias("parts"))  # chunks of one medium
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
         for batch in common.batches(stream):
             rows = []
             for key, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                pieces = [unpack.decompress(p["data"]) for p in sorted(found.as_py(), key=lambda p: p["at"])]
+                by_place = {p["at"]: p["data"] for p in found.as_py()}
+                pieces = [unpack.decompress(by_place[i]) for i in sorted(by_place)]
                 form = stored(pieces)
                 payload = read(form)
                 if hashlib.sha256(payload).digest() != key:
                     raise ValueError(f"payload {key.hex()} was not read back whole")
                 rows.append((key, len(payload), zlib.crc32(payload[-32:]), len(form), hashlib.sha256(form).hexdigest(), feature(payload, len(pieces), len(set(pieces)))))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["media", "payload_bytes", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            yield _rows(rows, media=pa.binary(), payload_bytes=pa.int64(), tail_crc32=pa.int64(), media_bytes=pa.int64(), media_sha256=pa.string(), feature=pa.string())
 
     return parts.mapInArrow(run, "media binary, payload_bytes long, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
+def _word(name: bytes) -> int:
+    return int.from_bytes(name[:8], "big", signed=True)
+
+
 def columns(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature) for each row.
 
