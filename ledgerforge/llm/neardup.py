@@ -161,35 +161,17 @@ def signatures(docs: DataFrame, width: int = 5, bands: int = 30, rows: int = 6,
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text), text).mapInArrow(run, "doc_id long, h long, key binary, bands array<long>")
 
 
-#: Bits of the filter that tells which texts a step needs: 16 MiB, whatever the corpus.
-SIEVE_WORDS = 1 << 21
-
-
-def _sieve(hashes: DataFrame) -> np.ndarray:
-    """A filter of the 64-bit hashes ``x``: one bit each."""
-    word, bit = F.pmod("x", F.lit(SIEVE_WORDS)).alias("word"), F.shiftrightunsigned("x", 40).bitwiseAND(F.lit(63)).cast("int")
-    rows = hashes.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
-    rows = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(SIEVE_WORDS, np.uint64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def _passes(sieve: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return (sieve[np.mod(x, SIEVE_WORDS)] >> ((x.view(np.uint64) >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) > 0
-
-
 def _elements(docs: DataFrame, wanted: DataFrame, width: int, text: str = "text") -> DataFrame:
     """(key, shingles) of the wanted rows: the multiset as sorted hashes, the n-th copy of a shingle as an element of its own.
 
     ``wanted`` holds ``x``, a hash of id and text hash. Texts stay where they are: a broadcast filter of fixed size picks them. It
     lets some others pass, which nothing joins.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
+    shared = docs.sparkSession.sparkContext.broadcast(common.sieve(wanted))
 
     def run(stream):
         for batch in common.batches(stream):
-            texts = batch.column(1).take(pa.array(np.flatnonzero(_passes(shared.value, batch.column(0).to_numpy()))))
+            texts = batch.column(1).take(pa.array(np.flatnonzero(common.sieved(shared.value, batch.column(0).to_numpy()))))
             if not len(texts):
                 continue
             keys, counts, starts, owner = shingles(texts, width)
@@ -239,12 +221,13 @@ def _prefixes(sets: DataFrame, wanted: DataFrame, least: float) -> DataFrame:
 
 
 def _may_be_similar(least: float) -> Column:
-    """Whether texts of ``size`` and ``b_size`` elements can be similar that share the element at ``place`` and ``b_place``
-    of a common order: what they share lies before that element in both, is it, or lies behind it in both."""
-    before = F.least("place", "b_place")
-    behind = F.least(F.col("shared") - F.col("place"), F.col("b_shared") - F.col("b_place"))
+    """Whether texts of ``size`` and ``b_size`` elements can be similar whose first shared element in a common order
+    is that at ``place`` and ``b_place``: from there on each has enough elements that others have too, and so have
+    both with what may lie before."""
+    overlap = F.ceil(least / (1 + least) * (F.col("size") + F.col("b_size")) - 1e-9)
     sizes = F.least("size", "b_size") >= least * F.greatest("size", "b_size") - 1e-9
-    return sizes & (before + behind >= least / (1 + least) * (F.col("size") + F.col("b_size")) - 1e-9)
+    after = F.least(F.col("shared") - F.col("place"), F.col("b_shared") - F.col("b_place"))
+    return sizes & (after + 1 >= overlap)
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -373,11 +356,11 @@ def stage(docs: DataFrame) -> DataFrame:
     gone = ~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("h") == F.col("kept.h")))
     asked = found.groupBy("doc_id", "h").agg(F.max(gone).alias("gone"), F.count("*").alias("rows")).where("gone or rows > 1")
     asked = common.written(asked.select(F.col("doc_id").alias("i"), F.col("h").alias("t"), "gone"), "in-question")
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(asked.select(F.xxhash64("i", "t").alias("x"))))
+    shared = docs.sparkSession.sparkContext.broadcast(common.sieve(asked.select(F.xxhash64("i", "t").alias("x"))))
 
     @F.pandas_udf("boolean")
     def in_question(x: pd.Series) -> pd.Series:
-        return pd.Series(_passes(shared.value, x.to_numpy()))
+        return pd.Series(common.sieved(shared.value, x.to_numpy()))
 
     every = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
     every = every.withColumn("asked", in_question(F.xxhash64("doc_id", "h")))
