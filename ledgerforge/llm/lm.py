@@ -3,8 +3,10 @@
 Word unigrams and bigrams are counted exactly over all training texts by a shuffle. A count is quantised to
 a level, and the filter holds an n-gram once for each level up to its own, so probing level after level until
 one is missing gives the level back. The filter is cut into segments by n-gram hash; each is filled by the task that
-counts its n-grams, with so many bits for each of its entries that false hits are as rare at every size, and the
-whole is broadcast. Probabilities interpolate: all bigrams that were seen, and for the rest of a context's mass the add-one unigram.
+counts its n-grams, with so many bits for each of its entries that false hits are as rare at every size. The
+filter is broadcast in pieces of a bounded size, one after the other: a pass over the texts probes one piece and notes the levels found,
+one byte for each token and n-gram. Probabilities interpolate: all bigrams that were seen, and for the rest of a context's mass the
+add-one unigram; none is above 1.
 
 Exact unigram counts (the base score) come from a bounded table of the commonest words, broadcast; what other
 words a document holds is joined with the count table.
@@ -18,7 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.llm import common
@@ -27,6 +30,8 @@ SEGMENTS = 4096
 PROBES = 3
 #: Bits of the filter for each n-gram and level that it holds: 1.7 % of probes for an absent one hit.
 ENTRY_BITS = 10
+#: Bytes of the filter that are broadcast at once, at most.
+PIECE_BYTES = 256 << 20
 #: Levels of unigrams go up by a factor of sqrt(2), those of bigrams by 2; level 1 is a count of one.
 MOST_LEVELS = 128
 END = common.hash_strings(["\n"])[0]
@@ -37,7 +42,8 @@ HEAVY = 1 << 20
 @dataclass
 class Model:
     counts: DataFrame  # h, n of each training token
-    filled: tuple[np.ndarray, np.ndarray]  # the filter's bytes, and where each segment starts and the last ends
+    filter: DataFrame  # segment, bits
+    pieces: list[tuple[int, int]]  # first and last segment of each piece of the filter
     heavy: tuple[np.ndarray, np.ndarray]  # hashes, sorted, and counts of the commonest tokens
     tokens: int
     distinct: int
@@ -154,10 +160,24 @@ def _counted(stream: Iterator[pa.RecordBatch], room: int = 1 << 21) -> Iterator[
     yield from sent()
 
 
-def fit(docs: DataFrame) -> Model:
-    """Learn from all ``text`` of ``docs`` (null: empty). The filter grows with the n-grams: ``ENTRY_BITS`` for each level of each."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
+def fit(docs: DataFrame, entry_bits: float = ENTRY_BITS, piece_bytes: int = PIECE_BYTES) -> Model:
+    """Learn from all ``text`` of ``docs`` (null: empty). The filter grows with the n-grams: ``entry_bits`` for each level of each."""
+    model = _counts(docs, entry_bits, piece_bytes)
+    model.seen = _seen(_probed(docs, model))
+    return model
+
+
+def fit_and_score(docs: DataFrame, learns: Column, entry_bits: float = ENTRY_BITS, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """``score`` of all ``docs`` by the model of those that ``learns`` is true for, with one pass over the texts fewer."""
+    model = _counts(docs.where(learns), entry_bits, piece_bytes)
+    rows = _probed(docs, model, learns)
+    model.seen = _seen(rows.where("learns"))
+    return _scores(rows, model)
+
+
+def _counts(docs: DataFrame, entry_bits: float, piece_bytes: int) -> Model:
+    """All of the model but ``seen``."""
+    common.small_batches(docs.sparkSession)
     counts = docs.select("text").mapInArrow(_counted, "segment int, bigram boolean, h long, n long")
     # Tasks have summed already; a segment's n-grams meet in one partition.
     counts = counts.repartition("segment").groupBy("segment", "bigram", "h").agg(F.sum("n").alias("n"))
@@ -176,20 +196,22 @@ def fit(docs: DataFrame) -> Model:
         order = np.argsort(segment, kind="stable")
         own, first = np.unique(segment[order], return_index=True)
         for s, at in zip(own.tolist(), np.split(order, first[1:]), strict=True):
-            x = _filled(h[at], level[at])
+            x = _filled(h[at], level[at], entry_bits)
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([x.tobytes()]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=["segment", "bits", "h", "n"])
 
     both = common.written(counts.mapInArrow(fill, "segment int, bits binary, h long, n long"), "ngrams")
-    parts = {r["segment"]: np.frombuffer(r["bits"], np.uint8) for r in both.where("segment is not null").select("segment", "bits").toLocalIterator()}
-    none = np.zeros(0, np.uint8)
-    whole = [parts.pop(s, none) for s in range(SEGMENTS)]
-    filled = (np.concatenate(whole), np.append(0, np.cumsum([len(x) for x in whole])))
-    del whole
+    bits = both.where("segment is not null").select("segment", "bits")
+    sizes = {r["segment"]: r["size"] for r in bits.select("segment", F.octet_length("bits").alias("size")).collect()}
+    pieces, room = [(0, SEGMENTS - 1)], piece_bytes
+    for s in range(SEGMENTS):
+        if sizes.get(s, 0) > room and s > pieces[-1][0]:
+            pieces[-1:] = [(pieces[-1][0], s - 1), (s, SEGMENTS - 1)]
+            room = piece_bytes
+        room -= sizes.get(s, 0)
     counts = both.where("segment is null").select("h", "n")
-    by_level = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()
-    quantised = counts.groupBy((1 + F.floor(2 * F.log2("n") + 2e-12)).alias("level")).agg(F.count("*").alias("words")).collect()
-    distinct, tokens = sum(r["words"] for r in by_level), 0
-    tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    by_level = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("words")).collect()
+    quantised = counts.groupBy((1 + F.floor(2 * F.log2("n") + 2e-12)).alias("level")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()
+    distinct, tokens = sum(r["words"] for r in by_level), sum(r["tokens"] for r in quantised)
     mass = float(sum(count_of(np.array([r["level"]]), False)[0] * r["words"] for r in quantised))
     above, least = 0, 1001
     for r in sorted(by_level, key=lambda r: -r["n"]):
@@ -200,14 +222,21 @@ def fit(docs: DataFrame) -> Model:
     top = counts.where(F.col("n") >= least).toArrow() if distinct else pa.table({"h": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
     h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(h)
-    model = Model(counts, filled, (h[order], n[order]), tokens, distinct, mass, np.zeros(MOST_LEVELS))
-    model.seen = _seen(docs, filled)
-    return model
+    return Model(counts, bits, pieces, (h[order], n[order]), tokens, distinct, mass, np.zeros(MOST_LEVELS))
+
+
+def _piece(model: Model, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """The filter's bytes in some segments, and where each segment starts and the last ends; others are empty."""
+    rows = model.filter.where(F.col("segment").between(first, last)).toLocalIterator()
+    parts = {r["segment"]: np.frombuffer(r["bits"], np.uint8) for r in rows}
+    none = np.zeros(0, np.uint8)
+    whole = [parts.pop(s, none) for s in range(SEGMENTS)]
+    return np.concatenate(whole), np.append(0, np.cumsum([len(x) for x in whole]))
 
 
-def _filled(h: np.ndarray, level: np.ndarray) -> np.ndarray:
+def _filled(h: np.ndarray, level: np.ndarray, entry_bits: float) -> np.ndarray:
     """The bytes of one segment."""
-    out = np.zeros((int(level.sum(dtype=np.int64)) * ENTRY_BITS + 7) // 8, np.uint8)
+    out = np.zeros((int(level.sum(dtype=np.int64) * entry_bits) + 7) // 8, np.uint8)
     size = np.uint64(len(out) * 8)
     for j in range(1, MOST_LEVELS):
         h, level = h[level >= j], level[level >= j]
@@ -239,24 +268,86 @@ def _joined(held: list[pa.RecordBatch]) -> list[np.ndarray]:
     return [segment, bigram, h.view(np.uint64), n]
 
 
-def _seen(docs: DataFrame, filled: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def _probed(docs: DataFrame, model: Model, learns: Column | None = None) -> DataFrame:
+    """Each row with what the exact counts of common words say of it, its other words, and the levels of its tokens and bigrams, one byte each:
+    (row, doc_id, learns, n_tokens, known, base, rest, own, pair). A pass for each piece of the filter."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model.heavy)
+    names = ["n_tokens", "known", "base", "rest", "own", "pair"]
+    kinds = ["n_tokens long", "known long", "base double", "rest array<struct<h:long,times:long>>", "own binary", "pair binary"]
+
+    def by_word(stream):
+        heavy, heavy_n = shared.value
+        for batch in common.batches(stream):
+            at, offsets, words = token_stream(batch.column(3))
+            n = batch.num_rows
+            owner = np.repeat(np.arange(n), np.diff(offsets))
+            spot = np.minimum(np.searchsorted(heavy, words), max(0, len(heavy) - 1))
+            common_word = heavy[spot] == words if len(heavy) else np.zeros(len(words), bool)
+            logs = np.where(common_word, np.log10((heavy_n[spot] if len(heavy) else np.zeros(len(words))) + 1.0), 0.0)
+            base = np.bincount(owner, logs[at], n)
+            known = np.bincount(owner, common_word[at], n).astype(np.int64)
+            # What the bounded table lacks, once for each word of a text.
+            rare = np.flatnonzero(~common_word[at])
+            key = np.sort(owner[rare] * len(words) + at[rare])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+            times = np.diff(np.append(first, len(key)))
+            o, w = np.divmod(key[first], len(words))
+            ends = np.searchsorted(o, np.arange(n + 1)).astype(np.int32)
+            rest = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(common.long_signed(words[w])), pa.array(times.astype(np.int64))], names=["h", "times"]))
+            yield batch, (at, offsets, words), [pa.array(np.diff(offsets)), pa.array(known), pa.array(base), rest]
+
+    def again(stream):
+        for batch in common.batches(stream):
+            yield batch, token_stream(batch.column(3)), batch.columns[4:8]
+
+    def probe(piece, first: bool, last: bool):
+        def run(stream):
+            for batch, (at, offsets, words), columns in by_word(stream) if first else again(stream):
+                own, pair = (levels(piece.value, h).astype(np.uint8) for h in (words, bigrams(at, words)))
+                own, ends = own[at], pa.array(offsets.astype(np.int32))
+                if not first:
+                    own, pair = (np.maximum(x, np.frombuffer(b"".join(batch.column(8 + i).to_pylist()), np.uint8)) for i, x in enumerate((own, pair)))
+                found = [pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, ends.buffers()[1], pa.py_buffer(x.tobytes())]) for x in (own, pair)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: 3 if last else 4], *columns, *found], names=["row", "doc_id", "learns", *([] if last else ["text"]), *names])
+
+        return run
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), (F.lit(True) if learns is None else learns).alias("learns"), "text")
+    for i, ends in enumerate(model.pieces):
+        last = i == len(model.pieces) - 1
+        piece = spark.sparkContext.broadcast(_piece(model, *ends))  # of PIECE_BYTES, or one segment
+        schema = ", ".join(["row long", "doc_id long", "learns boolean", *([] if last else ["text string"]), *kinds])
+        rows = common.written(rows.mapInArrow(probe(piece, i == 0, last), schema), "lm-rows")
+        piece.unpersist()
+    return rows
+
+
+def _noted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Levels of the tokens, of their bigrams and of the tokens before (an end token before the first) from the
+    columns ``own`` and ``pair``, and where each text starts."""
+    own, pair = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in ("own", "pair"))
+    ends = np.cumsum(pc.binary_length(batch.column("own")).to_numpy())
+    starts = np.append(0, ends[:-1])
+    before = np.roll(own, 1)
+    before[starts] = own[ends - 1]  # the last token is an end token
+    return own, pair, before, starts
+
+
+def _seen(rows: DataFrame) -> np.ndarray:
     """By level of the context, the share of its mass that seen bigrams have: n of n tokens and those of them whose bigram
     was seen once, as often as which a new one is expected."""
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(stream):
         total, hit = np.zeros(MOST_LEVELS, np.int64), np.zeros(MOST_LEVELS, np.int64)
         for batch in common.batches(stream):
-            tokens, _, words = token_stream(batch.column(0))
-            level = levels(shared.value, words)
-            context = np.append(level[-1:], level[tokens[:-1]])
-            known = _hits(shared.value, bigrams(tokens, words), 2)
-            total += np.bincount(context, minlength=MOST_LEVELS)
-            hit += np.bincount(context[known], minlength=MOST_LEVELS)
+            _, pair, before, _ = _noted(batch)
+            total += np.bincount(before, minlength=MOST_LEVELS)
+            hit += np.bincount(before[pair >= 2], minlength=MOST_LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(MOST_LEVELS)), pa.array(total), pa.array(hit)], names=["level", "total", "hit"])
 
     out = np.zeros(MOST_LEVELS)
-    for r in docs.select("text").mapInArrow(run, "level long, total long, hit long").groupBy("level").agg(F.sum("hit").alias("hit"), F.sum("total").alias("total")).collect():
+    for r in rows.select("own", "pair").mapInArrow(run, "level long, total long, hit long").groupBy("level").agg(F.sum("hit").alias("hit"), F.sum("total").alias("total")).collect():
         out[r["level"]] = r["total"] / (2 * r["total"] - r["hit"]) if r["total"] else 0.0
     return np.minimum(out, 0.99)
 
@@ -267,48 +358,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Base: the sum over the words and one end token of log10((c + 1) / (N + V + 1)). A null or empty text has the end token
     only; whole texts count; repeated rows and null ids are rows like others. ``score`` is the model's log10 probability.
     """
-    spark = docs.sparkSession
-    common.small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.filled, *model.heavy, model.seen))  # the filter grows with the n-grams
-    mass, distinct, tokens_in_all = model.mass, model.distinct, model.tokens
+    common.small_batches(docs.sparkSession)
+    return _scores(_probed(docs, model), model)
+
+
+def _scores(rows: DataFrame, model: Model) -> DataFrame:
+    every = np.arange(MOST_LEVELS)
+    count, twice = np.minimum(count_of(every, False), max(model.mass, 1.0)), count_of(every, True)
+    unigram = (count + 1) / (max(model.mass, 1.0) + model.distinct + 1)
+    part, tokens_in_all = model.seen, model.tokens
 
     def run(stream):
-        filled, heavy, heavy_n, seen = shared.value
         for batch in common.batches(stream):
-            at, offsets, words = token_stream(batch.column(2))
-            n = batch.num_rows
-            owner = np.repeat(np.arange(n), np.diff(offsets))
-            spot = np.minimum(np.searchsorted(heavy, words), max(0, len(heavy) - 1))
-            common_word = heavy[spot] == words if len(heavy) else np.zeros(len(words), bool)
-            logs = np.where(common_word, np.log10((heavy_n[spot] if len(heavy) else np.zeros(len(words))) + 1.0), 0.0)
-            base = np.bincount(owner, logs[at], n)
-            known = np.bincount(owner, common_word[at], n).astype(np.int64)
-            # The model.
-            level = levels(filled, words)
-            count = count_of(level, False)
-            unigram, part = (count + 1) / (mass + distinct + 1), seen[level]
-            before = np.append(np.full(min(1, len(at)), len(words) - 1), at[:-1])
-            p = ((1 - part)[before]) * unigram[at]
-            pair = levels(filled, bigrams(at, words))
+            own, pair, before, starts = _noted(batch)
+            p = (1 - part)[before] * unigram[own]
             some = np.flatnonzero(pair)
             b = before[some]
-            p[some] += part[b] * np.minimum(count_of(pair[some], True), count[b]) / np.maximum(count[b], 1)
-            total = np.bincount(owner, np.log10(p), n)
-            # What the bounded table lacks, once for each word of a text.
-            rare = np.flatnonzero(~common_word[at])
-            key = np.sort(owner[rare] * len(words) + at[rare])
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
-            times = np.diff(np.append(first, len(key)))
-            o, w = np.divmod(key[first], len(words))
-            ends = np.searchsorted(o, np.arange(n + 1)).astype(np.int32)
-            rest = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(common.long_signed(words[w])), pa.array(times.astype(np.int64))], names=["h", "times"]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(offsets)), pa.array(known), pa.array(base), pa.array(total), rest], names=["row", "doc_id", "n_tokens", "known", "base", "score", "rest"])
+            p[some] += part[b] * np.minimum(twice[pair[some]], count[b]) / np.maximum(count[b], 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(np.add.reduceat(np.log10(p), starts))], names=["row", "doc_id", "n_tokens", "known", "base", "score"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, known long, base double, score double, rest array<struct<h:long,times:long>>")
-    rows = common.written(rows, "lm-rows")
+    scored = rows.select("row", "doc_id", "n_tokens", "known", "base", "own", "pair").mapInArrow(run, "row long, doc_id long, n_tokens long, known long, base double, score double")
     rest = rows.select("row", F.explode("rest").alias("r")).select("row", "r.h", "r.times").join(model.counts, "h")
     rest = rest.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
-    out = rows.drop("rest").join(rest, "row", "left")
-    base = F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(tokens_in_all + distinct + 1))
+    out = scored.join(rest, "row", "left")
+    base = F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(tokens_in_all + model.distinct + 1))
     return out.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tokens_in_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -62,7 +62,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    scored = lm.score(docs, lm.fit(docs.where(common.id_crc(7) != 2)))
+    scored = lm.fit_and_score(docs, common.id_crc(7) != 2)
     return scored.select("doc_id", (common.id_crc(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
