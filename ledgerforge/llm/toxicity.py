@@ -1,9 +1,10 @@
 """Toxicity of texts behind a noisy channel.
 
-Writers hide words by look-alike characters, separators, spacing and repetition. A word that looks so is a
+Writers hide words by look-alike characters, separators, spacing and repetition. A word is a
 lattice: each character may stand for itself, for a letter that it looks like, for a repetition of the one
-before or for nothing. Viterbi decoding under a character trigram model of the whole corpus finds the
-likeliest reading; the restored words are scored by a logistic model on words and their character n-grams.
+before or for nothing, and a space between short pieces may be an end of a word or nothing. Viterbi decoding under a character
+trigram model of the whole corpus finds the likeliest reading, with all states kept; a word of letters without signs or
+threefold letters is its own reading. The restored words are scored by a logistic model on words and their character n-grams.
 """
 
 from __future__ import annotations
@@ -28,10 +29,11 @@ CLASSES = 28
 #: Look-alikes.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 #: Costs in nats.
-LOOK, DOUBLED, REPEAT, DROP, KEEP_SIGN = 1.0, 3.0, 0.2, 0.7, 9.0
-_EDGES = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$!|+(€£]+$|(?<=\w)[!+(|]+$")
-#: Signs three times over at the end of a word adorn it.
-_ADORNED = re.compile(r"(?:([^\w\s])\1{2,})+$")
+LOOK, DOUBLED, REPEAT, DROP, KEEP_SIGN, CLOSE = 1.0, 3.0, 0.2, 0.7, 9.0, 1.5
+#: Neighbouring words of so many characters at most may be pieces of one.
+PIECE = 3
+#: Signs that may stand for letters, kept at the ends of a word.
+_SIGNS = frozenset("@$!|+(€£_")
 _TRIPLE = re.compile(r"(.)\1\1")
 _HIDDEN = re.compile(r"(.)\1\1|[^\W\d_][\W\d_]+[^\W\d_]|^[0-9@$!|+(€£]+[^\W\d_]|[^\W\d_][0-9@$€£]+$")
 
@@ -87,48 +89,84 @@ def char_counts(docs: DataFrame) -> dict[int, int]:
     return {r["gram"]: r["n"] for r in found}
 
 
-def decode(word: str, model: CharModel, beam: int = 24) -> str:
-    """The likeliest reading of a lower-case word; ties go to the reading that comes first in order."""
+def decode(word: str, model: CharModel) -> str:
+    """The likeliest reading of a lower-case word, or of pieces with spaces between; exact over all states (the classes of the last two
+    characters and the last character). Of equal readings the one found first stays. Time is linear in the length."""
     cost = model.cost
-    states: dict[tuple[int, int, str], tuple[float, str]] = {(EDGE, EDGE, ""): (0.0, "")}
+    # A reading is a chain of (character, reading before it), so that readings share their beginnings.
+    states: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(EDGE, EDGE, ""): (0.0, None)}
     for i, ch in enumerate(word):
-        fresh: dict[tuple[int, int, str], tuple[float, str]] = {}
+        fresh: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
 
-        def put(key: tuple[int, int, str], value: tuple[float, str], fresh=fresh) -> None:
-            if key not in fresh or value < fresh[key]:
-                fresh[key] = value
+        def put(key: tuple[int, int, str], total: float, read: tuple | None, fresh=fresh) -> None:
+            if key not in fresh or total < fresh[key][0]:
+                fresh[key] = (total, read)
 
         letter = ch.isalpha()
         repeated = i > 0 and word[i - 1] == ch
         again = REPEAT if repeated and i > 1 and word[i - 2] == ch else DOUBLED  # doubled letters are often meant
-        for (a, b, last), (c, text) in states.items():
+        for (a, b, last), (c, read) in states.items():
             if letter:
                 k = ord(ch) - 97 if "a" <= ch <= "z" else OTHER
-                put((b, k, ch), (c + cost[a, b, k], text + ch))
+                put((b, k, ch), c + cost[a, b, k], (ch, read))
                 if repeated:
-                    put((a, b, last), (c + again, text))
+                    put((a, b, last), c + again, read)
+            elif ch == " ":
+                put((EDGE, EDGE, ""), c + cost[a, b, EDGE], (ch, read))
+                put((a, b, last), c + CLOSE, read)
             else:
                 for x in LEET.get(ch, ""):
                     k = ord(x) - 97
-                    put((b, k, x), (c + LOOK + cost[a, b, k], text + x))
-                put((a, b, last), (c + (REPEAT if repeated else DROP if not ch.isdigit() else KEEP_SIGN), text))
-        states = dict(sorted(fresh.items(), key=lambda s: s[1])[:beam])
-    return min((c + cost[a, b, EDGE], text) for (a, b, _), (c, text) in states.items())[1]
+                    put((b, k, x), c + LOOK + cost[a, b, k], (x, read))
+                put((a, b, last), c + (REPEAT if repeated else DROP if not ch.isdigit() else KEEP_SIGN), read)
+        states = fresh
+    best, read = None, None
+    for (a, b, _), (c, found) in states.items():
+        if best is None or c + cost[a, b, EDGE] < best:
+            best, read = c + cost[a, b, EDGE], found
+    out = []
+    while read is not None:
+        out.append(read[0])
+        read = read[1]
+    return "".join(reversed(out))
+
+
+def bare(word: str) -> str:
+    """A word without adornment: signs three times over or more at its end, signs that stand for no letter at both
+    ends, and exclamation marks and their like behind a letter."""
+    start, end = 0, len(word)
+    while end and not (word[end - 1].isalnum() or word[end - 1] == "_"):
+        first = end - 1
+        while first and word[first - 1] == word[end - 1]:
+            first -= 1
+        if end - first < 3:
+            break
+        end = first
+    while start < end and not (word[start].isalnum() or word[start] in _SIGNS):
+        start += 1
+    while end > start and not (word[end - 1].isalnum() or word[end - 1] in _SIGNS):
+        end -= 1
+    stop = end
+    while stop > start and word[stop - 1] in "!+(|":
+        stop -= 1
+    return word[start:stop] if stop > start and (word[stop - 1].isalnum() or word[stop - 1] == "_") else word[start:end]
 
 
 def restore(word: str, model: CharModel) -> str:
-    """A word without adornment, in lower case, and decoded if it looks hidden."""
+    """A word without adornment, in lower case, and decoded where its lattice has more than one way. ``word`` may be two pieces with a space."""
     low = word.lower().rstrip(".,;:?")
     if low.isalpha() and not _TRIPLE.search(low):  # as almost all words
         return low
-    low = _EDGES.sub("", _ADORNED.sub("", low))
+    if " " in low:
+        return decode(low, model)
+    low = bare(low)
     return decode(low, model) if _HIDDEN.search(low) and any(c.isalpha() for c in low) else low
 
 
 def words_of(texts: pa.Array, known) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Codes of the restored words of each text, their texts, and the restored words. ``known`` restores a word.
 
-    Letters that stand alone, three or more in a row, make one more word.
+    Letters that stand alone, three or more in a row, make one more word; so do two short neighbours that read best as one.
     """
     codes, offsets, vocabulary = common.split_words(texts)
     restored = [known(w) for w in vocabulary]
@@ -143,6 +181,16 @@ def words_of(texts: pa.Array, known) -> tuple[np.ndarray, np.ndarray, list[str]]
                 more_codes.append(len(restored))
                 more_owner.append(owner[run[0]])
                 restored.append(known("".join(vocabulary[c] for c in codes[run])))
+    short = np.array([len(w) <= PIECE and w[:1].isalpha() and w.isalnum() for w in vocabulary], bool)
+    if len(codes) > 1 and short.any():
+        first = np.flatnonzero(short[codes[:-1]] & short[codes[1:]] & (owner[:-1] == owner[1:]))
+        pairs, which = np.unique(codes[first] * len(vocabulary) + codes[first + 1], return_inverse=True)
+        joined = [known(f"{vocabulary[p // len(vocabulary)]} {vocabulary[p % len(vocabulary)]}") for p in pairs.tolist()]
+        made = np.array([" " not in w for w in joined], bool)
+        number = np.cumsum(made) - 1 + len(restored)
+        restored += [w for w in joined if " " not in w]
+        more_codes += number[which[made[which]]].tolist()
+        more_owner += owner[first[made[which]]].tolist()
     return np.append(codes, np.array(more_codes, np.int64)), np.append(owner, np.array(more_owner, np.int64)), restored
 
 

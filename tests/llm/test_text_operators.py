@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -167,6 +168,62 @@ def test_decoding():
     assert "idiot" in words[2]
 
 
+def readings(word, cost):
+    """All readings of a word with their costs, by recursion."""
+    out = {}
+
+    def go(i, a, b, text, c):
+        if i == len(word):
+            c += cost[a, b, toxicity.EDGE]
+            out[text] = min(c, out.get(text, 1e9))
+            return
+        ch, same = word[i], i > 0 and word[i - 1] == word[i]
+        if ch.isalpha():
+            k = ord(ch) - 97
+            go(i + 1, b, k, text + ch, c + cost[a, b, k])
+            if same:
+                go(i + 1, a, b, text, c + (toxicity.REPEAT if i > 1 and word[i - 2] == ch else toxicity.DOUBLED))
+        elif ch == " ":
+            go(i + 1, toxicity.EDGE, toxicity.EDGE, text + ch, c + cost[a, b, toxicity.EDGE])
+            go(i + 1, a, b, text, c + toxicity.CLOSE)
+        else:
+            for x in toxicity.LEET.get(ch, ""):
+                go(i + 1, b, ord(x) - 97, text + x, c + toxicity.LOOK + cost[a, b, ord(x) - 97])
+            go(i + 1, a, b, text, c + (toxicity.REPEAT if same else toxicity.KEEP_SIGN if ch.isdigit() else toxicity.DROP))
+
+    go(0, toxicity.EDGE, toxicity.EDGE, "", 0.0)
+    return out
+
+
+def test_decoding_is_the_best_of_all_readings():
+    rng = random.Random(3)
+    model = toxicity.CharModel.of({rng.randrange(toxicity.CLASSES**3): rng.randrange(1, 90) for _ in range(3000)})
+    for _ in range(400):
+        word = "".join(rng.choice("abcdeilost016@$!|-*. ") for _ in range(rng.randrange(1, 10)))
+        found = readings(word, model.cost)
+        assert found[toxicity.decode(word, model)] == pytest.approx(min(found.values()))
+
+
+def test_spaced_pieces_are_read_as_one_word():
+    counts = Counter()
+    for w, n in {"idiot": 50, "scum": 80, "people": 500, "the": 900, "of": 900, "is": 700}.items():
+        c = [toxicity.EDGE, toxicity.EDGE, *toxicity.classes_of(w), toxicity.EDGE]
+        for a, b, d in zip(c, c[1:], c[2:], strict=False):
+            counts[(a * toxicity.CLASSES + b) * toxicity.CLASSES + d] += n
+    model = toxicity.CharModel.of(counts)
+    codes, owner, words = toxicity.words_of(pa.array(["the sc um is", "of s cum", "is of the", None]), lambda w: toxicity.restore(w, model))
+    assert [words[c] for c, o in zip(codes, owner, strict=True) if o == 0].count("scum") == 1
+    assert "scum" in [words[c] for c, o in zip(codes, owner, strict=True) if o == 1]
+    assert sorted(words[c] for c, o in zip(codes, owner, strict=True) if o == 2) == ["is", "of", "the"]
+
+
+@pytest.mark.parametrize("word", ["-" * 60 + "a", "-" * 300_000 + "a", "=====x", "-----|", "a1" * 30_000, "!" * 300_000, "a" * 300_000, "f!!!" * 5000])
+def test_odd_words_take_linear_time(word):
+    began = time.perf_counter()
+    toxicity.restore(word, toxicity.CharModel.of({1: 1}))
+    assert time.perf_counter() - began < 20
+
+
 def test_char_counts_are_those_of_brute_force(make):
     rows = [(1, "Ab b é!"), (2, None), (3, "ab"), (4, "")]
     want = Counter()
@@ -233,7 +290,7 @@ def test_bigrams_seen_once_count(make):
     mixed = " ".join(f"w{j % 40}x{(j * 7) % 50}" for j in range(50))  # the same kind of words, no training bigram
     got = {r["doc_id"]: r["score"] for r in lm.score(make([(1, seen), (2, mixed)]), model).collect()}
     assert len(set(words)) == 2000 and got[1] > got[2] + 50
-    data, starts = model.filled
+    data, starts = lm._piece(model, 0, lm.SEGMENTS - 1)
     assert len(starts) == lm.SEGMENTS + 1 and len(data) * 8 >= 10 * (2000 * 2)
 
 
@@ -241,5 +298,47 @@ def test_filter_gives_levels_back(make):
     model = lm.fit(make([(i, "one two " * (2**i)) for i in range(8)]))
     h = common.hash_strings(["one", "two", "\n", "never"])
     n = np.array([255, 255, 8, 0])
-    assert (lm.levels(model.filled, h)[:3] == lm.level_of(n[:3], np.zeros(3, bool))).all() and lm.levels(model.filled, h)[3] == 0
+    found = lm.levels(lm._piece(model, 0, lm.SEGMENTS - 1), h)
+    assert (found[:3] == lm.level_of(n[:3], np.zeros(3, bool))).all() and found[3] == 0
     assert lm.score(make([]), lm.fit(make([]))).count() == 0
+
+
+def test_scores_are_those_of_exact_counts(spark, sf_dir):
+    """With hardly any false hit the filter gives the levels of exact counts, whether it is broadcast whole or in pieces."""
+    docs = docs_of(spark, sf_dir).select("doc_id", "text")
+    learns = common.id_crc(7) != 2
+    got = {r["doc_id"]: r["score"] for r in lm.fit_and_score(docs, learns, entry_bits=200).collect()}
+    parts = {r["doc_id"]: r["score"] for r in lm.fit_and_score(docs, learns, entry_bits=200, piece_bytes=400_000).collect()}
+    model = lm.fit(docs.where(learns), entry_bits=200, piece_bytes=400_000)
+    assert len(model.pieces) > 2 and parts == pytest.approx(got)
+    assert {r["doc_id"]: r["score"] for r in lm.score(docs, model).collect()} == pytest.approx(got)
+    one, two = Counter(), Counter()
+    rows = {r["doc_id"]: tokens(r["text"]) for r in docs.collect()}
+    train = [t for d, t in rows.items() if crc32(str(d).encode()) % 7 != 2]
+    for t in train:
+        one.update(t)
+        two.update(zip(["\n", *t], t, strict=False))
+    level = lambda n, pair: 0 if not n else 1 + math.floor((1 if pair else 2) * math.log2(n) + 1e-12)
+    held = lambda x, pair: x if x < 2 else 2 ** (x - 0.5 if pair else (x - 1) / 2 + 0.25)
+    mass = sum(held(level(n, False), False) for n in one.values())
+    total, hit = Counter(), Counter()
+    for t in train:
+        for a, b in zip(["\n", *t], t, strict=False):
+            total[level(one[a], False)] += 1
+            hit[level(one[a], False)] += two[a, b] >= 2
+    part = {x: min(0.99, n / (2 * n - hit[x])) for x, n in total.items()}
+    for d, t in rows.items():
+        want = 0.0
+        for a, b in zip(["\n", *t], t, strict=False):
+            n, w = held(level(one[a], False), False), part.get(level(one[a], False), 0.0)
+            p = (1 - w) * (held(level(one[b], False), False) + 1) / (mass + len(one) + 1)
+            if two[a, b]:
+                p += w * min(held(level(two[a, b], True), True), n) / max(n, 1)
+            want += math.log10(p)
+        assert got[d] == pytest.approx(want, rel=2e-3), d
+
+
+def test_a_full_filter_gives_no_probability_above_one(spark, sf_dir):
+    docs = docs_of(spark, sf_dir)
+    scores = [r["score"] for r in lm.fit_and_score(docs, common.id_crc(7) != 2, entry_bits=0.2).collect()]
+    assert all(-1e9 < s <= 0 for s in scores)
