@@ -2,7 +2,7 @@
 
 The field's nodes are the candidates of a document: tokens that hold a digit or an at sign (all other
 tokens are observed as ``none`` and cut the chain). Its factors are token features, neighbouring
-candidates (chain) and distant candidates that repeat one another or share a skeleton (skip chain: each
+candidates (chain) and distant candidates that repeat one another, share a skeleton or one half of it (skip chain: each
 occurrence is tied to the next one, so their number is linear). Weights are learned from the spans of the
 patterns by pseudo-likelihood on a bounded sample; sum-product messages are passed over the loopy graph
 of each document, all documents of a batch at once. A candidate without a pattern's span gets one
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,11 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _DIGITS = re.compile(r"[^0-9]")
-#: A candidate: a run that holds digits, with what joins them, or a token with an at sign in sign or word.
-_CANDIDATE = re.compile(r"[^\s@]*@[^\s]*|[^\s@\[(]+\s?[\[(](?:at|AT)[\])]\s?[^\s]+|\+?[0-9](?:[ ().-]{0,3}[0-9])*", re.ASCII)
+#: An at sign as a word, and a run that holds digits, with what joins them.
+_AT_WORD = re.compile(r"[\[(](?:at|AT)[\])]")
+_NUMBER = re.compile(r"\+?[0-9](?:[ ().-]{0,3}[0-9])*")
+_SPACE = re.compile(r"\s")
+_WORD_START = frozenset(" \t\n\v\f\r@[(")
 
 Span = tuple[str, int, int]
 
@@ -107,6 +111,45 @@ class Graph:
 FEATURES = ("one", "at", "at word", "plus", "dots", "hyphens", "spaces", "parens", "letters", "digits<7", "digits 7-8", "digits 9-11", "digits 12-15", "digits 16", "digits 17+", "groups=1", "groups=4", "groups other", "part>255", "domain tail", "lonely", "in word")
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Tokens with an at sign; what stands on both sides of an at word; other runs of digits. From the left, in linear time."""
+    found: list[tuple[int, int]] = []
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and not text[start - 1].isspace():
+            start -= 1
+        end = m.start() if (m := _SPACE.search(text, at)) else len(text)
+        found.append((start, end))
+        done, at = end, text.find("@", end)
+    done = 0
+    for m in _AT_WORD.finditer(text):
+        start = m.start() - (m.start() > done and text[m.start() - 1].isspace())
+        first = start
+        while first > done and text[first - 1] not in _WORD_START:
+            first -= 1
+        if first < start:
+            after = m.end() + (text[m.end() : m.end() + 1].isspace())
+            end = n.start() if (n := _SPACE.search(text, after)) else len(text)
+            if end > after:
+                found.append((first, end))
+                done = end
+    found.sort()
+    if _DIGIT.search(text):
+        numbers = [m.span() for m in _NUMBER.finditer(text)]
+        found = sorted(numbers + found)
+    out: list[tuple[int, int]] = []
+    marked = [s for s in found if "@" in text[s[0] : s[1]] or _AT_WORD.search(text, *s)]
+    i = 0
+    for s in found:
+        while i < len(marked) and marked[i][1] <= s[0]:
+            i += 1
+        # Numbers inside a marked candidate are part of it; of two marked ones that overlap the first stays.
+        if (not out or s[0] >= out[-1][1]) and (i == len(marked) or s == marked[i] or s[1] <= marked[i][0]):
+            out.append(s)
+    return out
+
+
 def features(text: str, a: int, b: int) -> list[float]:
     """What a candidate looks like; neither checksum nor pattern, so that the field can judge what they miss."""
     s = text[a:b]
@@ -132,6 +175,16 @@ def skeleton(s: str) -> str:
     return digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
 
 
+def ties(s: str) -> list[str]:
+    """What candidates that repeat one another have in common: the skeleton, and of numbers of nine digits or more each half of it, so
+    that one changed digit keeps the tie."""
+    key = skeleton(s)
+    if len(key) < 7:
+        return []
+    half = len(key) // 2
+    return [key, f"{len(key)}<{key[:half]}", f"{len(key)}>{key[half:]}"] if len(key) >= 9 and key.isdigit() else [key]
+
+
 def graph(texts: list[str | None], bases: list[list[Span]]) -> Graph:
     spans, labels, rows, edges, skip, doc = [], [], [], [], [], []
     for d, (text, base) in enumerate(zip(texts, bases, strict=True)):
@@ -139,8 +192,7 @@ def graph(texts: list[str | None], bases: list[list[Span]]) -> Graph:
         if text and ("@" in text or _DIGIT.search(text) or "(at)" in text.lower() or "[at]" in text.lower()):
             last: dict[str, int] = {}
             first = len(labels)
-            for m in _CANDIDATE.finditer(text):
-                a, b = m.span()
+            for a, b in candidates(text):
                 while b > a and text[b - 1] in ".,;:!?)'\"#$%&*" :
                     b -= 1
                 if b <= a:
@@ -154,8 +206,10 @@ def graph(texts: list[str | None], bases: list[list[Span]]) -> Graph:
                 if node > first and a - own[-2][1] <= 40:
                     edges.append((node - 1, node))
                     skip.append(False)
-                if len(key := skeleton(text[a:b])) >= 7:
-                    if key in last:
+                own_ties = set()
+                for key in ties(text[a:b]):
+                    if key in last and last[key] not in own_ties:
+                        own_ties.add(last[key])
                         edges.append((last[key], node))
                         skip.append(True)
                     last[key] = node
@@ -249,16 +303,51 @@ def added_spans(texts: list[str | None], bases: list[list[Span]], w: Weights, le
     return out
 
 
-def fit(docs: DataFrame, buckets: int = 1024) -> Weights:
-    """Learn the weights on a bounded sample: of the texts that hold a digit or an at sign, the one with the least hash
-    in each of ``buckets`` hash buckets, its first 20,000 characters."""
+def altered(kind: str, s: str, n: int) -> str:
+    """Another way to write what a span says; ``n`` chooses."""
+    if kind == "email":
+        return s.replace("@", (" [at] ", "(at)", "[AT]")[n % 3])
+    if kind == "ip":
+        return s.replace(".", ("-", " . ")[n % 2])
+    digits = _DIGITS.sub("", s)
+    if kind == "phone" and len(digits) == 11 and digits[0] == "1":
+        digits = digits[1:]
+    size = 4 if kind == "card" else 3
+    cut = [digits[i : i + size] for i in range(0, len(digits), size)]
+    return ("-", ".", " ", "")[n % 4].join(cut if kind == "card" or len(cut) < 3 else [*cut[:2], "".join(cut[2:])])
+
+
+def repeated(text: str) -> tuple[str, list[Span]]:
+    """The text with its spans said again in another way behind it, and where: what teaches the field how much a tie tells."""
+    more: list[Span] = []
+    for n, (kind, a, b) in enumerate(base_spans(text)):
+        piece = altered(kind, text[a:b], n + a)
+        more.append((kind, len(text) + 11, len(text) + 11 + len(piece)))
+        text = f"{text}\nor rather {piece}"
+    return text, more
+
+
+def all_spans(texts: list[str | None], w: Weights) -> list[list[Span]]:
+    """The patterns' spans and those that the field adds, by start and kind."""
+    bases = [base_spans(t) for t in texts]
+    more = added_spans(texts, bases, w)
+    return [sorted(b + m, key=lambda s: (s[1], KINDS.index(s[0]), s[2])) for b, m in zip(bases, more, strict=True)]
+
+
+def fit(docs: DataFrame, buckets: int = 1024, piece: int = 20_000) -> Weights:
+    """Learn the weights on a bounded sample, each text with altered repeats of its spans behind it: of the texts that hold a digit or an at sign, the one with the least hash
+    in each of ``buckets`` hash buckets; of a text longer than ``piece`` characters a piece of so many, its place chosen by the hash.
+    Null texts teach nothing, repeated texts count once; without any text all weights are zero."""
     rows = docs.select("text").where("text rlike '[0-9@]'").withColumn("h", F.xxhash64("text"))
     least = rows.groupBy(F.pmod("h", F.lit(buckets)).alias("b")).agg(F.min("h").alias("h")).select("h")
-    sample = rows.join(F.broadcast(least), "h").groupBy("h").agg(F.min(F.substring("text", 1, 20_000)).alias("text"))  # at most ``buckets`` rows
+    room = F.greatest(F.length("text") - piece, F.lit(0)) + 1
+    part = F.substring("text", F.pmod(F.shiftright("h", 20), room).cast("int") + 1, F.lit(piece))
+    sample = rows.join(F.broadcast(least), "h").groupBy("h").agg(F.min(part).alias("text"))  # at most ``buckets`` rows
+
     def shrink(stream):
         for batch in common.batches(stream):
-            texts = batch.column(1).to_pylist()
-            g = graph(texts, [base_spans(t) for t in texts])
+            texts, forced = zip(*[repeated(t) for t in batch.column(1).to_pylist()], strict=True)
+            g = graph(list(texts), [base_spans(t) + more for t, more in zip(texts, forced, strict=True)])
             for d in range(len(texts)):
                 pick = g.doc == d
                 inner = pick[g.edges[:, 0]] if len(g.edges) else np.zeros(0, bool)
@@ -289,9 +378,7 @@ def find(docs: DataFrame, weights: Weights, text: str = "text") -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.batches(stream):
             texts = batch.column(kept.index(text)).to_pylist()
-            bases = [base_spans(t) for t in texts]
-            more = added_spans(texts, bases, shared.value)
-            every = [sorted(b + m, key=lambda s: (s[1], KINDS.index(s[0]), s[2])) for b, m in zip(bases, more, strict=True)]
+            bases, every = [base_spans(t) for t in texts], all_spans(texts, shared.value)
             columns = [pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x] for x in side], made) for side in (bases, every)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, "base", "spans"])
 
@@ -311,17 +398,25 @@ def redact(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """All documents, with personal data replaced by placeholders and ``n_chars`` counted anew where a text changed."""
+    """All rows, with personal data in ``text`` replaced by placeholders and ``n_chars``, if there is one, counted anew where a text
+    changed. Null and empty texts, repeated rows and null ids stay as they are; other columns may have any names."""
     columns = docs.columns
-    found = find(docs, fit(docs))
-    # Non-overlapping pieces: what lies before each span, and its placeholder.
-    @F.pandas_udf("string")
-    def clean(texts, spans):
-        return texts.combine(spans, lambda t, s: redact(t, [(x["kind"], x["start"], x["end"]) for x in s]) if t is not None and len(s) else t)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))  # a few hundred numbers
+    common.small_batches(docs.sparkSession)
 
-    hit = F.size("spans") > 0
-    changed = found.withColumn("text", clean("text", "spans"))
-    return changed.withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"])).select(*columns)
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        every = [t if isinstance(t, str) else None for t in texts]
+        return pd.Series([redact(t, s) for t, s in zip(every, all_spans(every, shared.value), strict=True)], dtype=object)
+
+    done = packed.select("row", clean("text").alias("clean"))
+    changed = ~F.col("clean").eqNullSafe(F.col("row.text"))
+    kinds = dict(docs.dtypes)
+    anew = {"text": F.col("clean").cast(kinds["text"])}
+    if "n_chars" in columns:
+        anew["n_chars"] = F.when(changed, F.length("clean")).otherwise(F.col("row.n_chars")).cast(kinds["n_chars"])
+    return done.select(*[anew.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
 
 
 def digest(spans: list[Span]) -> str:
