@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -176,3 +177,24 @@ def sieve(hashes: DataFrame) -> np.ndarray:
 def sieved(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Which of the hashes pass."""
     return (bits[np.mod(x, SIEVE_WORDS)] >> ((x.view(np.uint64) >> np.uint64(40)) & np.uint64(63))) & np.uint64(1) > 0
+
+
+def packed(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(row, i, t, asked): the rows of ``docs`` as structs, so that no column name clashes, their id and text hash, and whether (doc_id, h)
+    of ``asked`` may name them. Texts stay where they are: a filter of fixed size is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(asked.select(F.xxhash64("doc_id", "h").alias("x"))))
+
+    @F.pandas_udf("boolean")
+    def in_question(x: pd.Series) -> pd.Series:
+        return pd.Series(sieved(shared.value, x.to_numpy()))
+
+    every = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("t"))
+    return every.withColumn("asked", in_question(F.xxhash64("i", "t")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that no (doc_id, h) of ``gone`` names, h being the hash of the text. Only rows in question are shuffled."""
+    gone = written(gone, "gone")
+    every = packed(docs, gone)
+    kept = every.where("asked").join(gone, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("h")), "left_anti")
+    return every.where("not asked").select("row.*").unionByName(kept.select("row.*"))

@@ -19,7 +19,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -355,16 +354,9 @@ def stage(docs: DataFrame) -> DataFrame:
     found = grouped(docs).where("kept is not null")
     gone = ~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("h") == F.col("kept.h")))
     asked = found.groupBy("doc_id", "h").agg(F.max(gone).alias("gone"), F.count("*").alias("rows")).where("gone or rows > 1")
-    asked = common.written(asked.select(F.col("doc_id").alias("i"), F.col("h").alias("t"), "gone"), "in-question")
-    shared = docs.sparkSession.sparkContext.broadcast(common.sieve(asked.select(F.xxhash64("i", "t").alias("x"))))
-
-    @F.pandas_udf("boolean")
-    def in_question(x: pd.Series) -> pd.Series:
-        return pd.Series(common.sieved(shared.value, x.to_numpy()))
-
-    every = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
-    every = every.withColumn("asked", in_question(F.xxhash64("doc_id", "h")))
-    known = every.where("asked").join(asked, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t")), "left").where("gone is null or not gone")
-    once = F.row_number().over(Window.partitionBy("doc_id", "h").orderBy(F.xxhash64("row")))
+    asked = common.written(asked.select("doc_id", "h", "gone"), "in-question")
+    every = common.packed(docs, asked)
+    known = every.where("asked").join(asked, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("h")), "left").where("gone is null or not gone")
+    once = F.row_number().over(Window.partitionBy("i", "t").orderBy(F.xxhash64("row")))
     known = known.withColumn("place", once).where((F.col("place") == 1) | F.col("gone").isNull())
     return every.where("not asked").select("row.*").unionByName(known.select("row.*"))
