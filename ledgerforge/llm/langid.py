@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -89,7 +90,7 @@ class Encoder:
     def judge(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score from 0 to 1, margin, and whether the margin is too narrow."""
         data = letters(text or "").encode()
-        if not data or not self.names:
+        if not self.names or not any(c.isalpha() for c in text or ""):  # numerals such as fractions are no letters
             return "und", 0.0, 0.0, True
         sizes = self.sizes(data)
         if min(sizes) * 8 < len(data):  # a text that repeats itself: what it repeats says more than how
@@ -127,5 +128,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """The documents whose language is found with a clear margin; learned from their own labels."""
-    return identify(docs, fit(docs)).where("not rejected").select(*docs.columns)
+    """The rows whose language is found with a clear margin; learned from their own labels. Rows without a letter go, as do all
+    where nothing was learned; repeated rows and null ids are rows like others; columns may have any names."""
+    common.small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
+
+    @F.pandas_udf("boolean")
+    def clear(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(shared.value)
+        for some in texts:
+            yield pd.Series([not encoder.judge(t if isinstance(t, str) else None)[3] for t in some], dtype=bool)
+
+    return docs.where(clear("text"))
