@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.llm import common
@@ -24,10 +24,9 @@ PHI = (5**0.5 - 1) / 2
 CHUNK = 1 << 20
 
 
-def words(text: str = "text"):
+def words(text: str = "text") -> Column:
     """Number of words: runs without ASCII white space; a null text has none."""
-    bare = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(bare == "", F.lit(0)).otherwise(F.length(bare) - F.length(F.translate(bare, " ", "")) + 1).cast("long")
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> list[tuple[str | None, int, float]]:

@@ -244,6 +244,13 @@ def test_one_text_with_two_ids_and_one_id_with_two_texts(make):
     assert got == Counter({(1, 1): 2, (2, 1): 1, (3, 1): 1})
 
 
+def test_stage_keeps_one_row_of_each_class(make):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, a), (2, b), (2, a), (None, b), (3, None), (3, None), (None, "")]
+    got = Counter((r["doc_id"], r["text"]) for r in neardup.stage(make(rows)).collect())
+    assert got == Counter({(1, a): 1, (2, b): 1, (3, None): 2, (None, ""): 1})
+
+
 def test_darts_estimate_weighted_similarity():
     rng = np.random.default_rng(0)
     gaps = []
