@@ -97,6 +97,12 @@ def numbered(rows: DataFrame, order: list[str], name: str = "ordinal", buckets:
     return keyed.withColumn("_i", inside).join(F.broadcast(before), "_b").withColumn(name, (F.col("_i") + F.col("_before")).cast("bigint")).drop("_n", "_b", "_i", "_before")
 
 
+def random_sample(rows: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
+    """``n`` rows at random: those with the least digests of key and seed, so that reruns agree and any row is as likely as another.
+    Null keys are keys like others."""
+    return rows.orderBy(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)).cast("binary")), key).limit(n)
+
+
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
 

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.operators.browse import numbered
+
 #: new: the batch's value, null included; old: the first value known; coalesce: the batch's unless null; greatest: never
 #: falls, null is skipped; add: sum of both.
 POLICIES = ("new", "old", "coalesce", "greatest", "add")
@@ -64,13 +66,25 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: list[str], arrival:
 
 
 def assign_ids(known: DataFrame, keys: DataFrame, key: str, number: str = "id") -> DataFrame:
-    """(key, number) with new keys numbered on from the greatest known number, in order of the keys.
+    """(key, number) with new keys numbered on from the greatest known number, in order of their md5 digests, which spread them evenly.
 
-    Known numbers stay and only new keys use one up. New keys are range-partitioned and numbered by the counts of the
-    partitions before, so no task sees all of them.
+    Known numbers stay and only new keys use one up; null keys get none. New keys are numbered by ranges of the digest, so no task sees all of them.
     """
     fresh = keys.select(key).where(F.col(key).isNotNull()).distinct().join(known.select(key), key, "left_anti")
     top = known.agg(F.coalesce(F.max(number), F.lit(0))).first()[0]
-    placed = fresh.rdd.map(lambda r: r[0]).sortBy(lambda k: k).zipWithIndex().map(lambda x: (x[0], top + 1 + x[1]))
-    kind = dict(keys.dtypes)[key]
-    return known.select(key, number).unionByName(keys.sparkSession.createDataFrame(placed, f"{key} {kind}, {number} bigint"))
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 12), 16, 10).cast("bigint")
+    placed = numbered(fresh.withColumn("_digest", digest), ["_digest", key], number).withColumn(number, F.col(number) + F.lit(top + 1))
+    return known.select(key, number).unionByName(placed.select(key, number))
+
+
+def seeded(held: DataFrame, values: list, key: str, number: str = "id") -> DataFrame:
+    """A dimension with the seed values that it lacks, numbered on; a repeated seed adds nothing."""
+    seeds = held.sparkSession.createDataFrame([(v,) for v in values], f"{key} {dict(held.dtypes)[key]}")
+    return assign_ids(held, seeds, key, number)
+
+
+def stamp_dead(users: DataFrame, gone: DataFrame, key: str, checked: str, at: Column) -> DataFrame:
+    """Users that the source no longer knows and that were never checked get the time ``at``; all others stay as they are."""
+    lost = gone.select(key).distinct().withColumn("_lost", F.lit(True))
+    due = F.col("_lost") & F.col(checked).isNull()
+    return users.join(lost, key, "left").withColumn(checked, F.when(due, at).otherwise(F.col(checked))).drop("_lost").select(*users.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.operators.merge import assign_ids
+
 
 def rollup_daily(log: DataFrame) -> DataFrame:
     return log.groupBy(F.to_date("date_used").alias("day"), "endpoint").agg(F.count("*").alias("calls"), F.max("date_used").alias("last_used"))
@@ -33,3 +35,18 @@ def requests_per_day(log: DataFrame) -> DataFrame:
 def totals(days: DataFrame) -> DataFrame:
     requests = F.sum(F.col("exact_requests") + F.col("legacy_requests"))
     return days.agg(F.sum("calls").alias("calls"), requests.alias("requests"), F.round(F.try_divide(F.sum("calls"), requests), 4).alias("calls_per_request"))
+
+
+def append(log: DataFrame, endpoints: DataFrame, requests: DataFrame, calls: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(log, endpoints, requests) with the calls in: endpoints and request keys that are new register themselves.
+
+    ``log``: endpoint_id, request_id, date_used. ``endpoints``: endpoint, id. ``requests``: request, id. ``calls``: endpoint, request, date_used.
+    A call without a request key gets request id 0, one without an endpoint is not logged. The log takes calls as they
+    come; a repeated call is a call.
+    """
+    calls = calls.where(F.col("endpoint").isNotNull())
+    endpoints = assign_ids(endpoints, calls.select("endpoint"), "endpoint")
+    requests = assign_ids(requests, calls.select("request"), "request")
+    rows = calls.join(endpoints.withColumnRenamed("id", "endpoint_id"), "endpoint")
+    rows = rows.join(requests.withColumnRenamed("id", "request_id"), "request", "left").withColumn("request_id", F.coalesce("request_id", F.lit(0)))
+    return log.unionByName(rows.select(*log.columns)), endpoints, requests

@@ -53,3 +53,17 @@ def candidates(latest: DataFrame, straddle: DataFrame, derived: DataFrame, activ
     post = F.col("value_1") - F.coalesce("derived", F.lit(0)) - F.coalesce("active", F.lit(0))
     still = (F.col("value_1") == F.col("value_2")) & (F.col("value_3").isNull() | (F.col("value_3") == F.col("value_2")))
     return rows.withColumn("post", post).where(still & (F.col("post") > 0) & (F.col("post") <= F.col("straddle"))).select("entity_id", "post", "straddle", F.col("value_1").alias("official"))
+
+
+def due_for_recheck(rows: DataFrame, now: Column, idle: str = "2 hours", recheck: str = "30 minutes", budget: int = 100) -> DataFrame:
+    """Candidates that may be corrected now: last connected ``idle`` ago or longer, or never, and not looked at within ``recheck``; at most
+    ``budget`` of them, those that wait longest first. ``rows``: entity_id, last_connected, last_checked."""
+    quiet = F.coalesce(F.col("last_connected") <= now - F.expr(f"INTERVAL {idle}"), F.lit(True))
+    waited = F.coalesce(F.col("last_checked") <= now - F.expr(f"INTERVAL {recheck}"), F.lit(True))
+    return rows.where(quiet & waited).orderBy(F.asc_nulls_first("last_checked"), "entity_id").limit(budget)
+
+
+def without_open_battles(rows: DataFrame, entries: DataFrame, battles: DataFrame, reset: Column) -> DataFrame:
+    """Candidates (entity_id) less those in a battle that began before the reset and still runs."""
+    open_ = battles.where(F.col("ended_at").isNull() & (F.col("created_at") < reset)).select("battle_id")
+    return rows.join(entries.join(open_, "battle_id", "left_semi").select("entity_id"), "entity_id", "left_anti")

@@ -102,13 +102,13 @@ def dominant(side: str = "side", damage: str = "damage"):
 
 @query(
     "rank_entry",
-    """, mine AS (SELECT * FROM rank_entry WHERE battle_id % 50 = 1 AND side IN (1, 2)),
+    """, mine AS (SELECT * FROM rank_entry WHERE side IN (1, 2)),
 s AS (SELECT battle_id, entity_id, CAST(sum(damage) AS BIGINT) AS damage, CAST(arg_max(side, damage * 10 - side) AS INTEGER) AS main_side FROM mine GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY battle_id ORDER BY damage DESC NULLS LAST, entity_id) AS place FROM s)
 SELECT battle_id, entity_id, damage, main_side FROM r WHERE place <= 20""",
 )
 def battle_top_players(spark: SparkSession, d: str) -> DataFrame:
-    rows = t.rank_entry(spark, d).where("battle_id % 50 = 1 and side in (1, 2)")  # the battles asked for
+    rows = t.rank_entry(spark, d).where("side in (1, 2)")
     sums = rows.groupBy("battle_id", "entity_id").agg(F.sum("damage").alias("damage"), dominant().alias("main_side"))
     return b.top_per_group(sums, ["battle_id"], [F.desc_nulls_last("damage"), F.asc("entity_id")], 20)
 
@@ -129,6 +129,12 @@ def account_recent(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("tx_id", "created_at", F.when(sold, "sold").otherwise("bought").alias("direction"), F.when(sold, F.col("buyer_id")).otherwise(F.col("seller_id")).alias("other_id"), "money")
 
 
+@query("tx", "SELECT tx_id, created_at, money FROM tx ORDER BY md5(CAST(tx_id AS VARCHAR) || 'check'), tx_id LIMIT 20")
+def tx_random_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Twenty rows to look at, the same on each run."""
+    return b.random_sample(t.tx(spark, d), "tx_id", 20, "check").select("tx_id", "created_at", "money")
+
+
 ORDINALS = ", n AS (SELECT battle_id, created_at, row_number() OVER (ORDER BY created_at, battle_id) - 1 AS ordinal FROM battle)"
 
 

@@ -85,7 +85,12 @@ def dim_parties(spark: SparkSession, d: str) -> DataFrame:
     return t.load(spark, d, "orders").select(F.col("o_custkey").alias("party_id")).distinct().join(known, "party_id", "left_anti")
 
 
-@query()
+@query(
+    "",
+    """WITH known AS (SELECT c_name AS external_id, CAST(c_custkey // 4 AS BIGINT) AS id FROM customer WHERE c_custkey % 4 = 0),
+fresh AS (SELECT DISTINCT external_id FROM (SELECT c_name AS external_id FROM customer UNION SELECT s_name FROM supplier) k WHERE external_id NOT IN (SELECT external_id FROM known))
+SELECT * FROM known UNION ALL SELECT external_id, CAST((SELECT coalesce(max(id), 0) FROM known) + row_number() OVER (ORDER BY substr(md5(external_id), 1, 12), external_id) AS BIGINT) FROM fresh""",
+)
 def dim_assign_ids(spark: SparkSession, d: str) -> DataFrame:
     c = t.load(spark, d, "customer")
     known = c.where("c_custkey % 4 = 0").select(F.col("c_name").alias("external_id"), (F.col("c_custkey") / 4).cast("bigint").alias("id"))

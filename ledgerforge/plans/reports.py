@@ -168,9 +168,9 @@ def tracker_for_against(spark: SparkSession, d: str) -> DataFrame:
     return named.groupBy("entity_id", "relation", F.coalesce("name", F.lit("—")).alias("name")).agg(F.count("*").alias("sides"), F.sum("damage").alias("damage"))
 
 
-@query("rank_entry battle", TRACK + "SELECT battle_id, side, CAST(sum(damage) AS BIGINT) AS damage, epoch_us(min(ended_at)) - epoch_us(max(created_at)) > 300000000 AS is_stale FROM track WHERE entity_id < 40 GROUP BY 1, 2, ended_at ORDER BY ended_at DESC, battle_id DESC, side LIMIT 500")
+@query("rank_entry battle", TRACK + "SELECT battle_id, side, CAST(sum(damage) AS BIGINT) AS damage, epoch_us(min(ended_at)) - epoch_us(max(created_at)) > 300000000 AS is_stale FROM track GROUP BY 1, 2, ended_at ORDER BY ended_at DESC, battle_id DESC, side LIMIT 500")
 def tracker_battles(spark: SparkSession, d: str) -> DataFrame:
-    rows = track(spark, d).where("entity_id < 40").groupBy("battle_id", "side", "ended_at").agg(F.sum("damage").alias("damage"), F.max("created_at").alias("newest_at"))
+    rows = track(spark, d).groupBy("battle_id", "side", "ended_at").agg(F.sum("damage").alias("damage"), F.max("created_at").alias("newest_at"))
     top = rows.orderBy(F.desc("ended_at"), F.desc("battle_id"), "side").limit(500)
     return top.select("battle_id", "side", "damage", (micros_between(F.col("newest_at"), F.col("ended_at")) > 300_000_000).alias("is_stale"))
 

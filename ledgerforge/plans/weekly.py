@@ -9,7 +9,7 @@ from ledgerforge import fixtures as t
 from ledgerforge.operators import weekly as w
 from ledgerforge.plans.registry import query
 
-CORRECTIONS = """, corrections AS (SELECT c_custkey AS user_id, TIMESTAMP '1997-01-06' + to_days(CAST(7 * (c_custkey % 3) AS INTEGER)) AS week_start, CAST(c_custkey % 5 * 10 - 20 AS BIGINT) AS amount FROM customer WHERE c_custkey < 500),
+CORRECTIONS = """, corrections AS (SELECT c_custkey AS user_id, TIMESTAMP '1997-01-06' + to_days(CAST(7 * (c_custkey % 3) AS INTEGER)) AS week_start, CAST(c_custkey % 5 * 10 - 20 AS BIGINT) AS amount FROM customer),
 starts AS (SELECT battle_id, number AS round_number, CAST(date_trunc('week', created_at) AS TIMESTAMP) AS week_start FROM rounds),
 base AS (SELECT entity_id AS user_id, week_start, CAST(sum(damage) AS BIGINT) AS base FROM rank_entry JOIN starts USING (battle_id, round_number) GROUP BY 1, 2),
 weekly AS (SELECT user_id, week_start, coalesce(base, 0) + coalesce(amount, 0) AS damage FROM base FULL JOIN corrections USING (user_id, week_start) WHERE base IS NOT NULL OR amount <> 0)
@@ -17,7 +17,7 @@ weekly AS (SELECT user_id, week_start, coalesce(base, 0) + coalesce(amount, 0) A
 
 
 def corrections(spark: SparkSession, d: str) -> DataFrame:
-    c = t.load(spark, d, "customer").where("c_custkey < 500")
+    c = t.load(spark, d, "customer")
     start = F.lit("1997-01-06 00:00:00").cast("timestamp_ntz") + F.make_dt_interval((F.col("c_custkey") % 3 * 7).cast("int"))
     return c.select(F.col("c_custkey").alias("user_id"), start.alias("week_start"), (F.col("c_custkey") % 5 * 10 - 20).alias("amount"))
 

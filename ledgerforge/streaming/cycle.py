@@ -77,6 +77,36 @@ def live_rankings(stored: DataFrame, batch: DataFrame, battles: DataFrame) -> Da
     return m.merge(stored, rows, key, {"damage": "new"})
 
 
+def settle_due(rows: DataFrame, battles: DataFrame, wait: str = "5 minutes") -> DataFrame:
+    """(battle_id) of ended battles whose rows were all read before they had settled: none is from ``wait`` after the end or later.
+    ``rows``: battle_id, read_at. A battle without rows is due too."""
+    last = rows.groupBy("battle_id").agg(F.max("read_at").alias("_last"))
+    ended = battles.where("ended_at is not null").select("battle_id", "ended_at").join(last, "battle_id", "left")
+    return ended.where(F.col("_last").isNull() | (F.col("_last") < F.col("ended_at") + F.expr(f"INTERVAL {wait}"))).select("battle_id")
+
+
+def active_totals(battles: DataFrame, rounds: DataFrame) -> DataFrame:
+    """Battles with the totals of those that still run taken from their rounds, as a step after each batch of rounds; a battle
+    without rounds keeps its own, and a repeated step changes nothing."""
+    sums = rounds.groupBy("battle_id").agg(F.sum("attacker_damages").alias("_a"), F.sum("defender_damages").alias("_d"))
+    both = battles.join(sums, "battle_id", "left")
+    for side, new in (("attacker_damages", "_a"), ("defender_damages", "_d")):
+        both = both.withColumn(side, F.when(F.col("ended_at").isNull(), F.coalesce(new, side)).otherwise(F.col(side)))
+    return both.select(*battles.columns)
+
+
+def usage_requests(stream: DataFrame, late: str = "1 day") -> DataFrame:
+    """Calls and distinct requests of each day: the calls of a request are folded to one row first, then counted by day.
+
+    For ``foreachBatch`` or a batch table; as a stream run it in append mode, where a day is given when it is over.
+    """
+    marked = stream.withWatermark("date_used", late) if stream.isStreaming else stream
+    day = F.window("date_used", "1 day")
+    one = marked.groupBy(day.alias("w"), "request_id").agg(F.count("*").alias("calls"))
+    days = one.groupBy(F.window(F.window_time("w"), "1 day").alias("d") if stream.isStreaming else F.col("w").alias("d"))
+    return days.agg(F.sum("calls").alias("calls"), F.count_if(F.col("request_id") != 0).alias("exact_requests")).select(F.to_date("d.start").alias("day"), "calls", "exact_requests")
+
+
 def snapshots(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored snapshots with a newer document; when a new week begins the old ones are pruned."""
     last = stored.agg(F.max("snapshot_at")).first()[0]

@@ -272,3 +272,40 @@ def test_no_plan_deals_data_to_one_task(spark, sf_dir):
     for name in ("every_nth", "rank_cap_300", "thin_minutes", "v_battle_details", "user_history", "weekly_damage", "span_subtract"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, name
+
+
+def test_random_sample_is_the_same_on_each_run(spark):
+    rows = spark.range(500).withColumnRenamed("id", "k")
+    one, two, other = ({r["k"] for r in browse.random_sample(df, "k", 30, seed).collect()} for df, seed in ((rows, "a"), (rows.repartition(7), "a"), (rows, "b")))
+    assert one == two != other and len(one) == 30
+
+
+def test_seeds_and_dead_stamps(spark):
+    held = spark.createDataFrame([("buy", 1)], "kind string, id bigint")
+    once = merge.seeded(held, ["buy", "sell", "gift"], "kind")
+    assert {r["id"] for r in once.collect()} == {1, 2, 3} and {r["kind"] for r in once.where("id > 1").collect()} == {"gift", "sell"}
+    assert merge.seeded(once, ["buy", "sell", "gift"], "kind").count() == 3
+    users = spark.createDataFrame([(1, None), (2, "2024-01-01"), (3, None), (None, None)], "user_id int, checked string")
+    out = merge.stamp_dead(users, spark.createDataFrame([(1,), (1,), (2,), (None,)], "user_id int"), "user_id", "checked", F.lit("now"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "now"), (2, "2024-01-01"), (3, None), (None, None)], key=str)
+
+
+def test_usage_log_registers_endpoints_and_requests(spark):
+    log = spark.createDataFrame([], "endpoint_id bigint, request_id bigint, date_used int")
+    ends, asks = spark.createDataFrame([("/a", 4)], "endpoint string, id bigint"), spark.createDataFrame([], "request string, id bigint")
+    calls = spark.createDataFrame([("/a", "r1", 1), ("/b", "r1", 2), ("/b", None, 3), (None, "r2", 4), ("/b", None, 3)], "endpoint string, request string, date_used int")
+    log, ends, asks = usage.append(log, ends, asks, calls)
+    assert sorted(map(tuple, log.collect())) == [(4, 1, 1), (5, 0, 3), (5, 0, 3), (5, 1, 2)]
+    log, ends, asks = usage.append(log, ends, asks, calls)
+    assert log.count() == 8 and ends.count() == 2 and asks.count() == 1
+
+
+def test_who_is_due_for_a_recheck(spark):
+    at = lambda x: F.lit(f"2024-01-08 {x}").cast("timestamp_ntz")
+    rows = spark.sql("""SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-08 09:59:00', CAST(NULL AS TIMESTAMP_NTZ)), (2, TIMESTAMP_NTZ '2024-01-08 11:00:00', NULL),
+        (3, NULL, TIMESTAMP_NTZ '2024-01-08 11:40:00'), (4, NULL, TIMESTAMP_NTZ '2024-01-08 11:30:00'), (5, NULL, NULL) AS v(entity_id, last_connected, last_checked)""")
+    assert [r["entity_id"] for r in weekly.due_for_recheck(rows, at("12:00:00")).collect()] == [1, 5, 4]
+    assert [r["entity_id"] for r in weekly.due_for_recheck(rows, at("12:00:00"), budget=2).collect()] == [1, 5]
+    battles = spark.sql("SELECT * FROM VALUES (7, TIMESTAMP_NTZ '2024-01-07 00:00:00', CAST(NULL AS TIMESTAMP_NTZ)), (8, TIMESTAMP_NTZ '2024-01-09 00:00:00', NULL) AS v(battle_id, created_at, ended_at)")
+    entries = spark.createDataFrame([(1, 7), (4, 8)], "entity_id int, battle_id int")
+    assert sorted(r["entity_id"] for r in weekly.without_open_battles(rows, entries, battles, at("00:00:00")).collect()) == [2, 3, 4, 5]

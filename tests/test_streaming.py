@@ -93,3 +93,20 @@ def test_snapshots_prune_on_a_new_week(spark):
     assert same.count() == 2
     got = cycle.snapshots(stored, spark.createDataFrame([(d(10), d(11), 1, 1)], schema))
     assert sorted((r["snapshot_at"], r["value"]) for r in got.collect()) == [(d(5), 7), (d(11), 1)]
+
+
+def test_settle_window_and_active_totals(spark):
+    battles = spark.sql("""SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-01 10:00:00', 0L, 0L), (2, TIMESTAMP_NTZ '2024-01-01 10:00:00', 5L, 6L), (3, CAST(NULL AS TIMESTAMP_NTZ), 0L, 0L),
+        (4, TIMESTAMP_NTZ '2024-01-01 10:00:00', 0L, 0L), (5, NULL, 7L, 8L) AS v(battle_id, ended_at, attacker_damages, defender_damages)""")
+    rows = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-01 10:04:59'), (2, TIMESTAMP_NTZ '2024-01-01 10:01:00'), (2, TIMESTAMP_NTZ '2024-01-01 10:05:00'), (3, TIMESTAMP_NTZ '2024-01-01 09:00:00') AS v(battle_id, read_at)")
+    assert sorted(r["battle_id"] for r in cycle.settle_due(rows, battles).collect()) == [1, 4]
+    rounds = spark.createDataFrame([(2, 50, 60), (3, 1, 2), (3, 10, 20)], "battle_id int, attacker_damages bigint, defender_damages bigint")
+    once = cycle.active_totals(battles, rounds)
+    want = {1: (0, 0), 2: (5, 6), 3: (11, 22), 4: (0, 0), 5: (7, 8)}
+    for df in (once, cycle.active_totals(once, rounds)):
+        assert {r["battle_id"]: (r["attacker_damages"], r["defender_damages"]) for r in df.collect()} == want
+
+
+def test_requests_of_each_day(spark):
+    log = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2024-01-01 10:00:00', 1), (TIMESTAMP '2024-01-01 11:00:00', 1), (TIMESTAMP '2024-01-01 12:00:00', 2), (TIMESTAMP '2024-01-01 12:00:00', 0), (TIMESTAMP '2024-01-02 01:00:00', 1) AS v(date_used, request_id)")
+    assert sorted((str(r["day"]), r["calls"], r["exact_requests"]) for r in cycle.usage_requests(log).collect()) == [("2024-01-01", 4, 2), ("2024-01-02", 1, 1)]
