@@ -3,8 +3,9 @@
 A rule is a host and a path prefix and fits the host, all its subdomains and all paths that
 begin with the prefix; the longest fitting rule wins. The canonical key is the reversed host
 followed by the path. A path prefix p is then the interval [p, p + 0xFF) of its host's keys (bytes;
-0xFF never occurs in UTF-8). Prefix intervals nest, so a sweep over the sorted keys needs a stack:
-at the start of an interval its rule is pushed, at the end the rule around it shows again.
+0xFF never occurs in UTF-8). Prefix intervals nest, so a sweep over the sorted keys keeps a stack: the start of an
+interval pushes its rule, the end pops it. The height of the stack is a running sum of starts less ends,
+and its top is the newest rule that was pushed to that height, so each height is a place of the stack.
 """
 
 from __future__ import annotations
@@ -30,22 +31,14 @@ def reversed_host(host: Column) -> Column:
 
 
 def rule_bounds(rules: DataFrame) -> DataFrame:
-    """Start and end of each rule's interval, with the rule that holds from there on.
-
-    The rule around a rule is the longest proper prefix of its path among the rules of its host,
-    found by an equality join on the prefixes.
-    """
-    top = F.struct(F.length("path").alias("depth"), "action", "path")
-    prefixes = rules.select("rev", F.col("path").alias("inner"), F.explode(F.sequence(F.lit(0), F.length("path"))).alias("n"))
-    prefixes = prefixes.where(F.col("n") < F.length("inner")).select("rev", "inner", F.expr("left(inner, n)").alias("path"))
-    around = prefixes.join(rules, ["rev", "path"]).groupBy("rev", "inner").agg(F.max(top).alias("around"))
-    both = rules.join(around.withColumnRenamed("inner", "path"), ["rev", "path"], "left")
+    """Start (kind 1) and end (kind 0) of each rule's interval of keys, with the rule."""
+    top = F.struct(F.length("path").alias("depth"), "action", "path").alias("top")
     key = F.encode("path", "utf-8")
     edges = F.array(
-        F.struct(key.alias("key"), F.lit(1).alias("kind"), top.alias("top")),
-        F.struct(F.concat(key, F.lit(b"\xff")).alias("key"), F.lit(0).alias("kind"), F.col("around").alias("top")),
+        F.struct(key.alias("key"), F.lit(1).alias("kind")),
+        F.struct(F.concat(key, F.lit(b"\xff")).alias("key"), F.lit(0).alias("kind")),
     )
-    return both.select("rev", F.explode(edges).alias("e")).select("rev", "e.*")
+    return rules.select("rev", F.explode(edges).alias("e"), top).select("rev", "e.*", "top")
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int = 64) -> DataFrame:
@@ -76,13 +69,14 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     bounds = rule_bounds(rules.select("rev", "path", "action")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     bounds = bounds.withColumns({"host": F.lit(None).cast("string"), "path": F.lit(None).cast("string")})
 
-    # ``held`` is not null at bounds, though the stack below may be empty there.
-    held = F.when(F.col("kind") < 2, F.struct(F.col("top").alias("top")))
     sweep = Window.partitionBy("rev", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    swept = points.unionByName(bounds).withColumn("now", F.last(held, ignorenulls=True).over(sweep))
+    step = F.when(F.col("kind") == 1, 1).when(F.col("kind") == 0, -1).otherwise(0)
+    swept = points.unionByName(bounds).withColumn("height", F.sum(step).over(sweep)).where("kind > 0")
+    place = Window.partitionBy("rev", "salt", "height").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    swept = swept.withColumn("now", F.last("top", ignorenulls=True).over(place))
     length = (F.length("rev") + F.col("depth")).alias("length")
     best = F.max(F.struct(length, F.length("rev").alias("l"), "action", reversed_host(F.col("rev")).alias("h"), "rule_path")).alias("best")
-    fits = swept.where("kind = 2 and now.top is not null").select("host", "path", "rev", F.col("now.top.depth").alias("depth"), F.col("now.top.action").alias("action"), F.col("now.top.path").alias("rule_path"))
+    fits = swept.where("kind = 2 and height > 0").select("host", "path", "rev", "now.depth", "now.action", F.col("now.path").alias("rule_path"))
     found = fits.groupBy("host", "path").agg(best)
     out = pages.join(found, ["host", "path"], "left")
     return out.select(*rest, "host", "path", F.concat("best.h", "best.rule_path").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
