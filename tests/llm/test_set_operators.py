@@ -161,6 +161,32 @@ def test_odd_conversations(spark):
     assert chat.formatted(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_hot_conversations_are_solved_by_pieces(spark):
+    """Turns without number or conversation, exact copies among them, over many pieces, blocks and levels."""
+    rng = random.Random(4)
+    roles = ["user", "assistant", "system", None]
+    rows = [(None, None, rng.choice(roles), rng.choice("ab")) for _ in range(300)] + [(1, None, "user", "same")] * 90
+    rows += [(None, 7, rng.choice(roles), f"t{i}") for i in range(60)] + [(2, 5, "user", "twice")] * 2
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    by = repaired(df, block=4, piece=20, fan=3)
+    for conv in (None, 1, 2):
+        own = [r for r in by[conv] if r["action"] != "insert"]
+        given = Counter(r[1:] for r in rows if r[0] == conv)
+        if conv == 2:
+            assert [(r["text"], r["copies"]) for r in own] == [("twice", 2)]
+            continue
+        assert Counter((r["turn"], r["role_was"], r["text"]) for r in own) == given and {r["copies"] for r in own} == {1}
+        assert [r["turn"] is None for r in own] == sorted(r["turn"] is None for r in own)
+        state, cost = chat.START, 0.0
+        for r in by[conv]:
+            to = chat.ROLES.index(r["role"])
+            assert to == state if r["action"] == "merge" else to in chat.LEGAL[state]
+            cost += chat.INSERT if r["action"] == "insert" else (chat.MERGE if r["action"] == "merge" else 0) + chat.label_cost(chat.role_number(r["role_was"]), to)
+            state = to
+        assert cost == pytest.approx(cheapest([chat.role_number(r["role_was"]) for r in own]))
+        assert max(r["block"] for r in by[conv]) == (len(own) - 1) // 4
+
+
 # Near duplicates
 
 
