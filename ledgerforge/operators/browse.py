@@ -8,6 +8,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerforge.session import written
+
 
 def parse_date(text: str) -> datetime:
     """ISO date or datetime (naive: UTC), DD-MM-YY, or Unix milliseconds."""
@@ -78,23 +80,38 @@ def contains(column: str, text: str) -> Column:
     return F.lower(column).contains(text.lower())
 
 
-def numbered(rows: DataFrame, order: list[str], name: str = "ordinal", buckets: int = 256) -> DataFrame:
+def in_pieces(rows: DataFrame, order: list[str], piece: int = 1 << 18, pieces: int | None = None) -> DataFrame:
+    """The rows in sorted range partitions of about ``piece`` rows (or ``pieces`` of them) in the shared folder, with ``_piece``, the
+    partition's number, and ``_at``, which rises over all rows. Rows that tie in the whole order share a piece."""
+    if pieces is None:
+        pieces = 1 + rows.count() // piece
+    held = rows.repartitionByRange(pieces, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    return written(held, "pieces").withColumn("_piece", F.shiftright("_at", 33))  # ids hold the partition's number above bit 33
+
+
+def numbered(rows: DataFrame, order: list[str], name: str = "ordinal", buckets: int | None = None) -> DataFrame:
     """Row numbers from 0 over the whole order, without one task that sees all rows.
 
-    Rows are cut at approximate quantiles of the first order column; each bucket is numbered by itself and shifted
-    by the sizes of those before. Rows with equal first columns share a bucket.
+    Rows are sorted by range partitions, whose number follows the row count unless ``buckets`` gives it; a row's number is its
+    place in the partition and the sizes of those before, one row for each partition.
     """
-    first = order[0]
-    as_number = F.col(first) if dict(rows.dtypes)[first] in ("bigint", "int", "double") else F.unix_micros(F.col(first).cast("timestamp"))
-    keyed = rows.withColumn("_n", as_number.cast("double"))
-    cuts = keyed.select(F.percentile_approx("_n", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col("_n"))) if cuts else F.lit(0)
-    keyed = keyed.withColumn("_b", bucket)
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1
-    sizes = keyed.groupBy("_b").agg(F.count("*").alias("n"))  # at most ``buckets`` rows
-    before = sizes.alias("l").join(F.broadcast(sizes.alias("r")), F.col("r._b") < F.col("l._b"), "left").groupBy(F.col("l._b").alias("_b")).agg(F.coalesce(F.sum("r.n"), F.lit(0)).alias("_before"))
-    return keyed.withColumn("_i", inside).join(F.broadcast(before), "_b").withColumn(name, (F.col("_i") + F.col("_before")).cast("bigint")).drop("_n", "_b", "_i", "_before")
+    held = in_pieces(rows, order, pieces=buckets)
+    sizes = held.groupBy(F.col("_piece").alias("_p")).agg(F.count("*").alias("n"), F.min("_at").alias("low"))
+    before = F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    shift = sizes.select("_p", (F.coalesce(before, F.lit(0)) - F.col("low")).alias("_shift"))
+    out = held.join(shift, F.col("_piece") == F.col("_p"))
+    return out.withColumn(name, (F.col("_at") + F.col("_shift")).cast("bigint")).drop("_at", "_piece", "_p", "_shift")
+
+
+def summed_before(rows: DataFrame, key: str, order: str, value: str, name: str = "before", piece: int = 1 << 18) -> DataFrame:
+    """The sum of ``value`` over the rows of the same ``key`` that come before in ``order``, by range pieces, so that no key is one task."""
+    held = in_pieces(rows, [key, order], piece)
+    inside = F.sum(value).over(Window.partitionBy("_piece", key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    sums = held.groupBy(F.col(key).alias("_k"), F.col("_piece").alias("_p")).agg(F.sum(value).alias("_n"))
+    first = F.sum("_n").over(Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select("_k", "_p", F.coalesce(first, F.lit(0)).alias("_first"))
+    both = held.withColumn("_i", inside).join(sums, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    return both.withColumn(name, F.coalesce("_i", F.lit(0)) + F.col("_first")).select(*rows.columns, name)
 
 
 def random_sample(rows: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.functions import NTZ, trunc
-
+from ledgerforge.operators.browse import numbered, summed_before
 
 
 def _lit(at: dt.datetime) -> Column:
@@ -43,28 +43,18 @@ def minute_counts(rows: DataFrame, time: str = "created_at") -> DataFrame:
     return rows.groupBy(trunc("minute", F.col(time)).alias("minute")).agg(F.count("*").alias("n"))
 
 
-def thin_minutes(counts: DataFrame, share: float = 0.35, reach: int = 20) -> DataFrame:
+def thin_minutes(counts: DataFrame, share: float = 0.35, reach: int = 20, block: int = 4096) -> DataFrame:
     """Minutes under ``share`` of the mean of the present minutes from ``reach`` before to ``reach`` after.
 
-    Blocks are days; each block also gets the nearest ``reach`` present minutes on either side, so no window spans
-    the table. Those are the last of the days before and the first of the days after: a chain of per-day edges.
+    Present minutes are numbered and cut into blocks; a minute near an edge is copied into the block beyond it, so no
+    window spans the table.
     """
-    days = counts.withColumn("day", F.to_date("minute"))
-    rank = lambda order: F.row_number().over(Window.partitionBy("day").orderBy(order))
-    placed = days.withColumn("up", rank(F.col("minute"))).withColumn("down", rank(F.col("minute").desc()))
-    sizes = days.groupBy("day").agg(F.count("*").alias("size"))  # one row a day
-    order = Window.orderBy("day")
-    numbered = sizes.withColumn("total", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    # Days whose last (first) rows a day needs: those within ``reach`` rows.
-    pairs = numbered.alias("a").join(numbered.alias("b"), F.col("a.day") != F.col("b.day")).where(
-        ((F.col("b.day") < F.col("a.day")) & (F.col("a.total") - F.col("a.size") - F.col("b.total") < reach)) | ((F.col("b.day") > F.col("a.day")) & (F.col("b.total") - F.col("b.size") - F.col("a.total") < reach))
-    )
-    pairs = F.broadcast(pairs.select(F.col("a.day").alias("block"), F.col("b.day").alias("day"), (F.col("b.day") < F.col("a.day")).alias("before")))
-    halo = placed.where(f"up <= {reach} or down <= {reach}").join(pairs, "day").where((F.col("before") & (F.col("down") <= reach)) | (~F.col("before") & (F.col("up") <= reach)))
-    both = placed.select(F.col("day").alias("block"), "minute", "n", F.lit(True).alias("own")).unionByName(halo.select("block", "minute", "n", F.lit(False).alias("own")))
-    frame = Window.partitionBy("block").orderBy("minute").rowsBetween(-reach, reach)
-    mean = F.avg("n").over(frame)
-    return both.withColumn("mean", mean).where(F.col("own") & (F.col("n") < F.lit(share) * F.col("mean"))).select("minute", "n", F.round("mean", 6).alias("mean"))
+    placed = numbered(counts, ["minute"], "_i")
+    of = lambda shift: F.floor((F.col("_i") + shift) / block)
+    both = placed.withColumn("_b", F.explode(F.sequence(of(-reach), of(reach))))
+    frame = Window.partitionBy("_b").orderBy("_i").rowsBetween(-reach, reach)
+    thin = both.withColumn("mean", F.avg("n").over(frame)).where((F.col("_b") == of(0)) & (F.col("n") < F.lit(share) * F.col("mean")))
+    return thin.select("minute", "n", F.round("mean", 6).alias("mean"))
 
 
 def empty_runs(counts: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
@@ -97,8 +87,8 @@ def bands(streams: DataFrame, minutes: int = 3, most: int = 50) -> DataFrame:
 def row_slices(rows: DataFrame, stream: str, time: str, size: int) -> DataFrame:
     """Ends of slices of about ``size`` rows: the time of each (k * size + 1)-th row of a stream, ties whole."""
     counts = rows.groupBy(stream, time).agg(F.count("*").alias("n"))
-    seen = F.sum("n").over(Window.partitionBy(stream).orderBy(time).rowsBetween(Window.unboundedPreceding, 0))
-    marks = counts.withColumn("seen", seen).withColumn("slice", F.floor((F.col("seen") - 1) / size)).withColumn("first", F.floor((F.col("seen") - F.col("n") - 1) / size))
+    placed = summed_before(counts, stream, time, "n").withColumn("seen", F.col("before") + F.col("n"))
+    marks = placed.withColumn("slice", F.floor((F.col("seen") - 1) / size)).withColumn("first", F.floor((F.col("before") - 1) / size))
     return marks.where("slice > first and slice > 0").groupBy(stream, "slice").agg(F.min(time).alias("slice_end"))
 
 

@@ -19,28 +19,24 @@ def result_code(inner: Column, outer: Column) -> Column:
     return F.when(inner.isNotNull() & ~inner.eqNullSafe(outer), inner)
 
 
-def has_key(json: Column, key: str) -> Column:
-    """Whether a JSON object has the key, be its value null."""
-    return F.coalesce(F.array_contains(F.json_object_keys(json), key), F.lit(False))
-
-
-def secondary_role(json: Column, role: str) -> Column:
-    """The secondary seller or buyer: the unit if its key is present, even as null, else the country."""
-    return F.when(has_key(json, f"{role}MuId"), F.get_json_object(json, f"$.{role}MuId")).otherwise(F.get_json_object(json, f"$.{role}CountryId"))
+def secondary_role(fields: Column, role: str) -> Column:
+    """The secondary seller or buyer in the fields (a map): the unit if its key is present, even as null, else the country."""
+    return F.when(F.map_contains_key(fields, f"{role}MuId"), fields[f"{role}MuId"]).otherwise(fields[f"{role}CountryId"])
 
 
 def _numbers(skills: Column) -> Column:
-    """(key, value) pairs of a JSON object whose values are numbers, shortest keys first, then by key."""
-    pairs = F.map_entries(F.from_json(skills, "map<string,string>"))
+    """(key, value) pairs of a map whose values are numbers, shortest keys first, then by key."""
+    pairs = F.map_entries(skills)
     rows = F.transform(pairs, lambda p: F.struct(F.length(p["key"]).alias("n"), p["key"].alias("key"), p["value"].try_cast("double").alias("value")))
     return F.array_sort(F.filter(rows, lambda p: p["value"].isNotNull()))
 
 
 def skills(code: Column, json: Column) -> tuple[Column, Column]:
     """Primary and secondary skill: attack and critical chance of a weapon; else the first number. No skills: both null."""
-    value = lambda k: F.get_json_object(json, f"$.{k}").try_cast("double")
+    fields = F.from_json(json, "map<string,string>")
+    value = lambda k: fields[k].try_cast("double")
     weapon = code.isin(*WEAPONS)
-    numbers = _numbers(json)
+    numbers = _numbers(fields)
     first = F.when(F.size(numbers) > 0, numbers[0]["value"])
     return F.when(weapon, value("attack")).otherwise(first), F.when(weapon, value("criticalChance"))
 
@@ -55,18 +51,19 @@ def loot_skills(json: Column) -> tuple[Column, Column]:
 
 def normalised(docs: DataFrame, json: str = "doc") -> DataFrame:
     """Transaction documents as rows: fields, roles and the item's codes and skills; documents without ``_id`` fall away."""
-    d = F.from_json(json, TRANSACTION)
-    raw = F.col(json)
-    rows = docs.withColumn("d", d).where("d._id is not null")
-    item = F.get_json_object(raw, "$.item.skills")
-    result = result_code(F.col("d.item.code"), F.col("d.itemCode"))
-    first, second = skills(F.coalesce(result, F.col("d.itemCode")), item)
+    # Exploded, the parsed document is a row of its own, so that it is parsed once and not again for each field and filter.
+    parsed = F.explode(F.array(F.from_json(json, TRANSACTION))).alias("_d")
+    fields = F.explode(F.array(F.from_json(json, "map<string,string>"))).alias("_f")
+    rows = docs.select("*", parsed).where("_d._id is not null").select("*", fields)
+    item = F.col("_d.item.skills")  # its JSON
+    result = result_code(F.col("_d.item.code"), F.col("_d.itemCode"))
+    first, second = skills(F.coalesce(result, F.col("_d.itemCode")), item)
     return rows.select(
         *[c for c in docs.columns if c != json],
-        F.lower("d._id").alias("tx_id"), F.col("d.createdAt").cast("timestamp_ntz").alias("created_at"), F.col("d.offerCreatedAt").cast("timestamp_ntz").alias("offer_created_at"),
-        F.col("d.money").alias("money"), F.col("d.quantity").alias("quantity"), F.col("d.sellerId").alias("seller"), F.col("d.buyerId").alias("buyer"),
-        secondary_role(raw, "seller").alias("seller_second"), secondary_role(raw, "buyer").alias("buyer_second"),
-        F.col("d.itemCode").alias("item_code"), result.alias("result_code"), F.col("d.item._id").alias("item_id"), first.alias("skill_1"), second.alias("skill_2"), F.col("d.transactionType").alias("tx_type"),
+        F.lower("_d._id").alias("tx_id"), F.col("_d.createdAt").cast("timestamp_ntz").alias("created_at"), F.col("_d.offerCreatedAt").cast("timestamp_ntz").alias("offer_created_at"),
+        F.col("_d.money").alias("money"), F.col("_d.quantity").alias("quantity"), F.col("_d.sellerId").alias("seller"), F.col("_d.buyerId").alias("buyer"), F.col("_d.sellerPartyId").alias("seller_party"),
+        secondary_role(F.col("_f"), "seller").alias("seller_second"), secondary_role(F.col("_f"), "buyer").alias("buyer_second"),
+        F.col("_d.itemCode").alias("item_code"), result.alias("result_code"), F.col("_d.item._id").alias("item_id"), first.alias("skill_1"), second.alias("skill_2"), F.col("_d.transactionType").alias("tx_type"),
     )
 
 

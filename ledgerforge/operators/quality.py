@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,36 @@ def sums_equal(rounds: DataFrame, battles: DataFrame) -> DataFrame:
     return both.agg(F.count_if(F.col("damage") != F.col("r")).alias("diff"), F.count("*").alias("pairs")).select(F.lit("rounds = battle").alias("label"), "diff", "pairs")
 
 
-def orphans(entries: DataFrame) -> DataFrame:
+def orphans(entries: DataFrame, key: list[str] = KEY) -> DataFrame:  # noqa: B006
     """Keys of merged rows (side 3) that no side has."""
-    return entries.where("side = 3").select(*KEY).distinct().join(entries.where("side < 3").select(*KEY), KEY, "left_anti")
+    return entries.where("side = 3").select(*key).distinct().join(entries.where("side < 3").select(*key), key, "left_anti")
+
+
+def duplicates(entries: DataFrame, key: list[str] = KEY) -> DataFrame:  # noqa: B006
+    return entries.where("side = 3").groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def exceptions(entries: DataFrame, key: list[str] = KEY) -> DataFrame:  # noqa: B006
+    """Merged rows that are kept beside rows of a side with the same key."""
+    return entries.where("side = 3").join(entries.where("side < 3").select(*key), key, "left_semi")
+
+
+def leftovers(entries: DataFrame, measures: list[str], key: list[str] = KEY) -> DataFrame:  # noqa: B006
+    """(key) of those whose merged rows equal the sums of their sides in all measures, null being equal to null."""
+    total = lambda side, mark: entries.where(side).groupBy(*key).agg(*[F.sum(m).alias(f"{mark}_{m}") for m in measures])
+    same = reduce(lambda x, y: x & y, [F.col(f"m_{m}").eqNullSafe(F.col(f"s_{m}")) for m in measures])
+    return total("side = 3", "m").join(total("side < 3", "s"), key).where(same).select(*key)
 
 
-def duplicates(entries: DataFrame) -> DataFrame:
-    return entries.where("side = 3").groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1")
+def key_violations(rows: DataFrame, key: list[str], parents: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """(check, rows) of the constraints of a table: repeated keys, null keys and, for each column of ``parents``, values without a parent row."""
+    absent = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in key])
+    repeated = rows.where(~absent).groupBy(*key).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows"))
+    parts = [repeated.select(F.lit("repeated key").alias("check"), "rows"), rows.agg(F.count_if(absent).alias("rows")).select(F.lit("null key").alias("check"), "rows")]
+    for column, (parent, name) in (parents or {}).items():
+        lost = rows.where(F.col(column).isNotNull()).join(parent.select(F.col(name).alias(column)), column, "left_anti")
+        parts.append(lost.agg(F.count("*").alias("rows")).select(F.lit(f"{column} without parent").alias("check"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def last_round_missing(rounds: DataFrame, entries: DataFrame) -> DataFrame:

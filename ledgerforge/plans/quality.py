@@ -127,26 +127,86 @@ def rank_cleanup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("battle_id", "round_number", "side", "entity_id", "damage", "created_at")
 
 
-REPORT = BATTLE_LEVEL + MERGED + LAST + VERIFIED + f"""
-{CHK} UNION ALL SELECT 'merged orphans', count(*), (SELECT count(*) FROM m) FROM (SELECT DISTINCT {KEY} FROM m ANTI JOIN s USING ({KEY}))
-UNION ALL SELECT 'merged duplicates', count(*), (SELECT count(*) FROM m) FROM (SELECT {KEY} FROM m GROUP BY ALL HAVING count(*) > 1)
+#: The battle level with all its sides as it would be stored: what ``be`` holds, with the other measures.
+LEVELS = """, bl AS (SELECT battle_id, side, entity_type, entity_id, CAST(sum(damage) AS BIGINT) AS damage, CAST(sum(points) AS BIGINT) AS points,
+  CAST(count(*) AS BIGINT) AS hits, round(sum(money), 2) AS money FROM rank_entry GROUP BY 1, 2, 3, 4),
+rl AS (SELECT *, CAST(1 AS BIGINT) AS hits FROM rank_entry)"""
+MEASURES = ["damage", "points", "hits", "money"]
+BATTLE_KEY = [k for k in q.KEY if k != "round_number"]
+
+
+def levels(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Ranking rows of the battle and the round level with their keys and four measures."""
+    rows = t.rank_entry(spark, d).withColumn("hits", F.lit(1).cast("bigint"))
+    sums = [F.sum("damage").alias("damage"), F.sum("points").alias("points"), F.sum("hits").alias("hits"), F.round(F.sum("money"), 2).alias("money")]
+    return {"battle": (rows.groupBy("battle_id", "side", "entity_type", "entity_id").agg(*sums), BATTLE_KEY), "round": (rows, q.KEY)}
+
+
+def _level_sql(level: str, table: str, key: list[str]) -> str:
+    """Orphans, duplicates, leftovers and exceptions of a level's merged rows."""
+    k = ", ".join(key)
+    merged = f"(SELECT * FROM {table} WHERE side = 3)"
+    sides = f"(SELECT DISTINCT {k} FROM {table} WHERE side < 3)"
+    sums = lambda side: f"(SELECT {k}, " + ", ".join(f"{f'round(sum({m}), 2)' if m == 'money' else f'sum({m})'} AS {m}" for m in MEASURES) + f" FROM {table} WHERE {side} GROUP BY ALL)"
+    same = " AND ".join(f"m.{m} IS NOT DISTINCT FROM s.{m}" for m in MEASURES)
+    bad = {
+        "merged orphans": f"SELECT DISTINCT {k} FROM {merged} ANTI JOIN {sides} USING ({k})",
+        "merged duplicates": f"SELECT {k} FROM {merged} GROUP BY ALL HAVING count(*) > 1",
+        "leftovers": f"SELECT {k} FROM {sums('side = 3')} m JOIN {sums('side < 3')} s USING ({k}) WHERE {same}",
+        "exceptions kept": f"SELECT {k} FROM {merged} SEMI JOIN {sides} USING ({k})",
+    }
+    return " UNION ALL ".join(f"SELECT '{label}, {level}' AS label, count(*) AS diff, (SELECT count(*) FROM {merged}) AS pairs FROM ({sql})" for label, sql in bad.items())
+
+
+MERGED_LEVELS = _level_sql("battle", "bl", BATTLE_KEY) + " UNION ALL " + _level_sql("round", "rl", q.KEY)
+
+
+@query("rank_entry", LEVELS + " " + MERGED_LEVELS)
+def merged_report(spark: SparkSession, d: str) -> DataFrame:
+    """Orphans, duplicates, leftovers and exceptions of merged rows, by level, with the number of merged rows."""
+    one = F.lit(1).alias("one")  # parts are single rows
+    parts = []
+    for level, (rows, key) in levels(spark, d).items():
+        cents = rows.withColumn("money", F.round(F.col("money") * 100).cast("bigint"))  # sums of whole numbers have one value in any order
+        merged = rows.where("side = 3").agg(F.count("*").alias("pairs"), one)
+        bad = {"merged orphans": q.orphans(rows, key), "merged duplicates": q.duplicates(rows, key), "leftovers": q.leftovers(cents, MEASURES, key), "exceptions kept": q.exceptions(rows, key)}
+        parts += [b.agg(F.count("*").alias("diff"), one).join(merged, "one").select(F.lit(f"{label}, {level}").alias("label"), "diff", "pairs") for label, b in bad.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+REPORT = BATTLE_LEVEL + LEVELS + LAST + VERIFIED + f"""
+{CHK} UNION ALL {MERGED_LEVELS}
 UNION ALL SELECT 'last round', count(*) FILTER ((battle_id, number) NOT IN (SELECT battle_id, round_number FROM rank_entry WHERE side = 1)), count(*) FROM lr
-UNION ALL SELECT 'unverified', count(*) FILTER (battle_id NOT IN (SELECT battle_id FROM verified)), count(*) FROM battle WHERE ended_at IS NOT NULL"""
+UNION ALL SELECT 'unverified', count(*) FILTER (battle_id NOT IN (SELECT battle_id FROM verified)), count(*) FROM battle WHERE ended_at IS NOT NULL
+UNION ALL SELECT 'unverified, last week', count(*) FILTER (battle_id NOT IN (SELECT battle_id FROM verified)), count(*) FROM battle WHERE ended_at > TIMESTAMP '1998-01-01' - INTERVAL 7 DAY"""
 
 
 @query("battle rounds rank_entry", REPORT)
 def ranking_quality_report(spark: SparkSession, d: str) -> DataFrame:
-    rows, rounds = t.rank_entry(spark, d), t.rounds(spark, d)
-    one = F.lit(1).alias("one")  # parts are single rows
-    merged = rows.where("side = 3").agg(F.count("*").alias("pairs"), one)
-    with_merged = lambda label, bad: bad.agg(F.count("*").alias("diff"), one).join(merged, "one").select(F.lit(label).alias("label"), "diff", "pairs")
+    rounds, one = t.rounds(spark, d), F.lit(1).alias("one")  # parts are single rows
     due = rounds.where("attacker_damages + defender_damages > 0").groupBy("battle_id").agg(F.max("number").alias("number"))
+    part = lambda label, bad, every: bad.agg(F.count("*").alias("diff"), one).join(every.agg(F.count("*").alias("pairs"), one), "one").select(F.lit(label).alias("label"), "diff", "pairs")
     ended = t.battle(spark, d).where("ended_at is not null")
+    week = ended.where(F.col("ended_at") > now() - F.expr("INTERVAL 7 DAYS"))
+    proven = battle_verified(spark, d)
     parts = [
         chk_rounds_eq_battle(spark, d),
-        with_merged("merged orphans", q.orphans(rows)),
-        with_merged("merged duplicates", q.duplicates(rows)),
-        chk_last_round(spark, d).agg(F.count("*").alias("diff"), one).join(due.agg(F.count("*").alias("pairs"), one), "one").select(F.lit("last round").alias("label"), "diff", "pairs"),
-        ended.join(battle_verified(spark, d), "battle_id", "left_anti").agg(F.count("*").alias("diff"), one).join(ended.agg(F.count("*").alias("pairs"), one), "one").select(F.lit("unverified").alias("label"), "diff", "pairs"),
+        merged_report(spark, d),
+        part("last round", chk_last_round(spark, d), due),
+        part("unverified", ended.join(proven, "battle_id", "left_anti"), ended),
+        part("unverified, last week", week.join(proven, "battle_id", "left_anti"), week),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "rank_entry battle account",
+    f""" SELECT 'repeated key' AS check, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM rank_entry GROUP BY {KEY}, side)
+UNION ALL SELECT 'null key', count(*) FILTER (battle_id IS NULL OR round_number IS NULL OR entity_type IS NULL OR entity_id IS NULL OR side IS NULL) FROM rank_entry
+UNION ALL SELECT 'battle_id without parent', count(*) FROM rank_entry WHERE battle_id NOT IN (SELECT battle_id FROM battle)
+UNION ALL SELECT 'entity_id without parent', count(*) FROM rank_entry WHERE entity_id NOT IN (SELECT account_id FROM account)""",
+)
+def rank_constraints(spark: SparkSession, d: str) -> DataFrame:
+    """What keys and references of the ranking rows are broken."""
+    parents = {"battle_id": (t.battle(spark, d), "battle_id"), "entity_id": (t.account(spark, d), "account_id")}
+    return q.key_violations(t.rank_entry(spark, d), [*q.KEY, "side"], parents)

@@ -227,12 +227,23 @@ AGE = ", a AS (SELECT *, epoch_us(created_at) - epoch_us(offer_created_at) AS ag
 
 @query("tx", AGE + " SELECT item_code, count(*) AS buys, count(*) FILTER (age IS NULL) AS no_offer, count(*) FILTER (age < 86400000000) AS under_day, count(*) FILTER (age < 864000000000) AS under_ten_days, CAST(floor(quantile_cont(age, 0.5)) AS BIGINT) AS median_us, max(age) AS slowest_us, min(created_at) AS first_at, max(created_at) AS last_at FROM a GROUP BY 1")
 def listing_age_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Ages are counted first, so that a code's median comes from running sums of pieces, not from all its ages at once."""
     rows = t.tx(spark, d).withColumn("age", micros_between(F.col("offer_created_at"), F.col("created_at")))
-    under = lambda n: F.count_if(F.col("age") < n)
-    return rows.groupBy("item_code").agg(
-        F.count("*").alias("buys"), F.count_if(F.col("age").isNull()).alias("no_offer"), under(86_400_000_000).alias("under_day"), under(864_000_000_000).alias("under_ten_days"),
-        F.floor(F.percentile("age", 0.5)).alias("median_us"), F.max("age").alias("slowest_us"), F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"),
+    under = lambda n: F.coalesce(F.sum(F.when(F.col("age") < n, F.col("n"))), F.lit(0))
+    ages = rows.groupBy("item_code", "age").agg(F.count("*").alias("n"), F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"))
+    ages = browse.summed_before(ages.withColumn("known", F.when(F.col("age").isNotNull(), F.col("n")).otherwise(0)), "item_code", "age", "known")
+    total = ages.groupBy(F.col("item_code").alias("code")).agg(
+        F.sum("n").alias("buys"), F.sum(F.col("n") - F.col("known")).alias("no_offer"), F.sum("known").alias("known"), under(86_400_000_000).alias("under_day"),
+        under(864_000_000_000).alias("under_ten_days"), F.max("age").alias("slowest_us"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"),
     )
+    # The two middle ages, or one twice.
+    holds = lambda r: (F.col("a.before") <= r) & (F.col("a.before") + F.col("a.known") > r)
+    middle = [F.floor((F.col("t.known") - 1) / 2), F.floor(F.col("t.known") / 2)]
+    found = ages.alias("a").join(total.alias("t"), F.col("a.item_code").eqNullSafe(F.col("t.code")))
+    at = [F.max(F.when(holds(r), F.col("a.age"))) for r in middle]
+    median = found.groupBy("a.item_code").agg(F.floor((at[0] + at[1]) / 2).alias("median_us"))
+    out = total.join(median, F.col("code").eqNullSafe(F.col("item_code")))
+    return out.select("item_code", "buys", "no_offer", "under_day", "under_ten_days", "median_us", "slowest_us", "first_at", "last_at")
 
 
 @query("tx", AGE + " SELECT tx_id, age AS age_us, s_name AS seller_name FROM (SELECT * FROM a WHERE age IS NOT NULL ORDER BY age, tx_id LIMIT 50) LEFT JOIN supplier ON s_suppkey = seller_id")

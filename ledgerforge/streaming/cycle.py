@@ -77,6 +77,20 @@ def live_rankings(stored: DataFrame, batch: DataFrame, battles: DataFrame) -> Da
     return m.merge(stored, rows, key, {"damage": "new"})
 
 
+def without_partials(entries: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Ranking rows without the live ones of battles that ended between two states of the battles: those that bear the battle's
+    creation as their time. A repeated step changes nothing."""
+    ended = before.where("ended_at is null").join(after.where("ended_at is not null").select("battle_id"), "battle_id", "left_semi")
+    return entries.join(ended.select("battle_id", "created_at"), ["battle_id", "created_at"], "left_anti").select(*entries.columns)
+
+
+def refreshed_stats(stats: DataFrame, entries: DataFrame, touched: DataFrame) -> DataFrame:
+    """User-battle sums (entity_id, battle_id, side, damage) with those of the ``touched`` battles counted again from the ranking rows."""
+    kept = stats.join(touched.select("battle_id"), "battle_id", "left_anti").select("entity_id", "battle_id", "side", "damage")
+    rows = entries.where("side in (1, 2)").join(touched.select("battle_id"), "battle_id", "left_semi")
+    return kept.unionByName(rows.groupBy("entity_id", "battle_id", "side").agg(F.sum("damage").alias("damage")))
+
+
 def settle_due(rows: DataFrame, battles: DataFrame, wait: str = "5 minutes") -> DataFrame:
     """(battle_id) of ended battles whose rows were all read before they had settled: none is from ``wait`` after the end or later.
     ``rows``: battle_id, read_at. A battle without rows is due too."""

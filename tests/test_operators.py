@@ -272,6 +272,9 @@ def test_no_plan_deals_data_to_one_task(spark, sf_dir):
     for name in ("every_nth", "rank_cap_300", "thin_minutes", "v_battle_details", "user_history", "weekly_damage", "span_subtract"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, name
+    for name in ("every_nth", "ordinal_range", "thin_minutes", "row_slices", "listing_age_summary"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan, name
 
 
 def test_random_sample_is_the_same_on_each_run(spark):
@@ -309,3 +312,34 @@ def test_who_is_due_for_a_recheck(spark):
     battles = spark.sql("SELECT * FROM VALUES (7, TIMESTAMP_NTZ '2024-01-07 00:00:00', CAST(NULL AS TIMESTAMP_NTZ)), (8, TIMESTAMP_NTZ '2024-01-09 00:00:00', NULL) AS v(battle_id, created_at, ended_at)")
     entries = spark.createDataFrame([(1, 7), (4, 8)], "entity_id int, battle_id int")
     assert sorted(r["entity_id"] for r in weekly.without_open_battles(rows, entries, battles, at("00:00:00")).collect()) == [2, 3, 4, 5]
+
+
+def test_sums_before_by_pieces(spark):
+    rows = [(k, i, (i * 7) % 5) for k in ("a", "b", None) for i in range(60)] + [("c", None, 4), ("c", 1, 2)]
+    df = spark.createDataFrame(rows, "k string, i int, n bigint").repartition(7)
+    got = {(r["k"], r["i"]): r["before"] for r in browse.summed_before(df, "k", "i", "n", piece=10).collect()}
+    for k in ("a", "b", None):
+        total = 0
+        for i in range(60):
+            assert got[(k, i)] == total
+            total += (i * 7) % 5
+    assert got[("c", None)] == 0 and got[("c", 1)] == 4 and len(got) == len(rows)
+    assert browse.summed_before(df.limit(0), "k", "i", "n").count() == 0
+
+
+def test_merged_rows_against_their_sides(spark):
+    rows = [(1, 1, 1, 5, 1, 10), (1, 1, 1, 5, 2, 5), (1, 1, 1, 5, 3, 15), (1, 1, 1, 6, 1, 3), (1, 1, 1, 6, 3, 4), (1, 1, 1, 7, 3, 9), (2, 1, 1, 8, 1, None), (2, 1, 1, 8, 3, None)]
+    df = spark.createDataFrame(rows, "battle_id int, round_number int, entity_type int, entity_id int, side int, damage bigint")
+    assert sorted(r["entity_id"] for r in quality.leftovers(df, ["damage"]).collect()) == [5, 8]
+    assert sorted(r["entity_id"] for r in quality.exceptions(df).collect()) == [5, 6, 8]
+    level = df.groupBy("battle_id", "entity_type", "entity_id", "side").agg(F.sum("damage").alias("damage"))
+    assert [r["entity_id"] for r in quality.orphans(level, ["battle_id", "entity_type", "entity_id"]).collect()] == [7]
+
+
+def test_broken_keys_and_references(spark):
+    rows = spark.createDataFrame([(1, 10), (1, 10), (1, 10), (2, 11), (None, 12), (3, None)], "id int, parent int")
+    parents = spark.createDataFrame([(10,), (10,), (12,), (None,)], "k int")
+    got = {r["check"]: r["rows"] for r in quality.key_violations(rows, ["id"], {"parent": (parents, "k")}).collect()}
+    assert got == {"repeated key": 2, "null key": 1, "parent without parent": 1}
+    empty = {r["check"]: r["rows"] for r in quality.key_violations(rows.limit(0), ["id"], {"parent": (parents, "k")}).collect()}
+    assert set(empty.values()) == {0}

@@ -110,3 +110,17 @@ def test_settle_window_and_active_totals(spark):
 def test_requests_of_each_day(spark):
     log = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2024-01-01 10:00:00', 1), (TIMESTAMP '2024-01-01 11:00:00', 1), (TIMESTAMP '2024-01-01 12:00:00', 2), (TIMESTAMP '2024-01-01 12:00:00', 0), (TIMESTAMP '2024-01-02 01:00:00', 1) AS v(date_used, request_id)")
     assert sorted((str(r["day"]), r["calls"], r["exact_requests"]) for r in cycle.usage_requests(log).collect()) == [("2024-01-01", 4, 2), ("2024-01-02", 1, 1)]
+
+
+def test_a_battle_that_ends_loses_its_live_rows(spark):
+    before = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-01 00:00:00', CAST(NULL AS TIMESTAMP_NTZ)), (2, TIMESTAMP_NTZ '2024-01-01 00:00:00', NULL) AS v(battle_id, created_at, ended_at)")
+    after = before.withColumn("ended_at", F.when(F.col("battle_id") == 1, F.lit("2024-01-02").cast("timestamp_ntz")))
+    entries = spark.sql("""SELECT battle_id, entity_id, side, damage, to_timestamp_ntz(at) AS created_at FROM VALUES (1, 5, 1, 10L, '2024-01-01 00:00:00'), (1, 5, 1, 12L, '2024-01-02 00:01:00'),
+        (2, 5, 2, 7L, '2024-01-01 00:00:00') AS v(battle_id, entity_id, side, damage, at)""")
+    once = cycle.without_partials(entries, before, after)
+    assert sorted((r["battle_id"], r["damage"]) for r in once.collect()) == [(1, 12), (2, 7)]
+    assert cycle.without_partials(once, before, after).count() == 2
+    stats = spark.createDataFrame([(5, 1, 1, 10), (9, 4, 2, 3)], "entity_id int, battle_id int, side int, damage bigint")
+    new = cycle.refreshed_stats(stats, once, after.where("battle_id = 1"))
+    assert sorted(map(tuple, new.collect())) == [(5, 1, 1, 12), (9, 4, 2, 3)]
+    assert sorted(map(tuple, cycle.refreshed_stats(new, once, after.where("battle_id = 1")).collect())) == [(5, 1, 1, 12), (9, 4, 2, 3)]
