@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerforge.session import shared_dir, written  # noqa: F401
+
 #: Rows and bytes that Spark hands to Python at once; documents can be long, so fewer than Spark's 10000.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
@@ -34,25 +33,6 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. On one machine (tests) a temporary one serves where none is set; a cluster must name one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-ckpt-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read again, so lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_crc(mod: int, col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
