@@ -2,7 +2,7 @@
 
 Each language gets a raw-content zstandard dictionary made of snippets of its labelled texts.
 A text is lower-cased, runs of non-letters become one space, and it is cut into blocks that are
-compressed with each dictionary; the whole text counts. Narrow margins are rejected.
+compressed with each dictionary at one level; the whole text counts. Narrow margins are rejected.
 """
 
 from __future__ import annotations
@@ -25,15 +25,10 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 @dataclass(frozen=True)
 class Model:
-    """Snippets of each language, the language with most training rows first; equal sizes go to the first.
-
-    Short texts are encoded at the thorough level, where every byte counts; others at the quick one.
-    """
+    """Snippets of each language, the language with most training rows first; equal sizes go to the first."""
 
     snippets: dict[str, bytes]
-    quick: int = 1
-    thorough: int = 9
-    short: int = 1024
+    level: int = 5
     block: int = 2048
     least_margin: float = 0.004
 
@@ -73,7 +68,7 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model, self.names = model, list(model.snippets)
-        self.at = {level: [self._compressor(content, level) for content in model.snippets.values()] for level in (model.quick, model.thorough)}
+        self.compressors = [self._compressor(content, model.level) for content in model.snippets.values()]
 
     @staticmethod
     def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -84,8 +79,7 @@ class Encoder:
     def sizes(self, data: bytes) -> list[int]:
         step = self.model.block
         blocks = [data[i : i + step] for i in range(0, len(data), step)]
-        by = self.at[self.model.thorough if len(data) < self.model.short else self.model.quick]
-        return [sum(len(c.compress(b)) for b in blocks) for c in by]
+        return [sum(len(c.compress(b)) for b in blocks) for c in self.compressors]
 
     def judge(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score from 0 to 1, margin, and whether the margin is too narrow."""
@@ -93,9 +87,6 @@ class Encoder:
         if not self.names or not any(c.isalpha() for c in text or ""):  # numerals such as fractions are no letters
             return "und", 0.0, 0.0, True
         sizes = self.sizes(data)
-        if min(sizes) * 8 < len(data):  # a text that repeats itself: what it repeats says more than how
-            data = b" ".join(dict.fromkeys(data.split()))
-            sizes = self.sizes(data)
         first, *others = sorted(sizes)
         margin = (others[0] - first) / first if others else 1.0
         ease = 8 * min(1.0, 128 / len(data))

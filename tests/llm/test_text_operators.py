@@ -10,6 +10,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from odd_rows import ODD
 from pyspark.sql import functions as F
 
@@ -32,6 +33,25 @@ def test_language_accuracy(spark, sf_dir):
     assert held.where("score < 0 or score > 1").count() == 0
 
 
+def test_languages_are_those_of_plain_encodings(spark, sf_dir):
+    """Each whole text encoded anew, one compressor for each block, against the query's choice and margin."""
+    docs = docs_of(spark, sf_dir)
+    model = langid.fit(docs)
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    for r in docs.collect()[::5]:
+        words = "".join(c if c.isalpha() else " " for c in re.sub(r"[\W\d_]", " ", r["text"].lower())).split()
+        data = " ".join(words).encode()
+        sizes = []
+        for content in model.snippets.values():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            pieces = (data[i : i + model.block] for i in range(0, len(data), model.block))
+            sizes.append(sum(len(zstandard.ZstdCompressor(dict_data=known, level=model.level, write_content_size=False, write_dict_id=False).compress(x)) for x in pieces))
+        low, next_ = sorted(sizes)[:2]
+        own = got[r["doc_id"]]
+        assert own["lang_pred"] == list(model.snippets)[sizes.index(low)]
+        assert own["margin"] == pytest.approx((next_ - low) / low) and own["rejected"] == (own["margin"] < model.least_margin)
+
+
 def test_language_of_odd_rows(make):
     docs = make(ODD, clash=["lang_pred", "score", "extra"])
     out = langid.identify(docs, langid.fit(docs))
