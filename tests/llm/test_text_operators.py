@@ -4,7 +4,7 @@ import math
 import random
 import re
 import time
-from collections import Counter
+from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
@@ -226,6 +226,68 @@ def test_agreeing_windows():
     assert decontam.agreeing([(0, [1, 2], [5, 5])]) == (0, 1) and decontam.agreeing([(0, [], []), (1, [], [])]) == (2, 0)
 
 
+def by_templates(docs, items, width=8, least=6):
+    """All windows of all texts against all windows of all items, as lists of words."""
+
+    def read(text):
+        words = []
+        for w in re.split("[ \t\n\v\f\r]+", text or ""):
+            for kind, value in decontam.canonical(w) if w else ():
+                if kind == decontam.NAME and words and words[-1][0] == kind:
+                    words[-1] = (kind, f"{words[-1][1]} {value}")
+                else:
+                    words.append((kind, value))
+        return words
+
+    slots = lambda piece: [v for k, v in piece if k in (decontam.NUMBER, decontam.UNIT, decontam.NAME)]
+    cut = lambda words, w: [(i, words[i : i + w]) for i in range(len(words) - w + 1)]
+    out = {}
+    for item, text in items:
+        words = read(text)
+        w = min(width, len(words))
+        own = defaultdict(list)
+        for i, piece in cut(words, w) if w else ():
+            own[tuple(k for k, _ in piece)].append((i, slots(piece)))
+        for doc, other in docs:
+            lines = defaultdict(set)
+            for j, piece in cut(read(other), w) if own else ():
+                for i, values in own.get(tuple(k for k, _ in piece), ()):
+                    for kind in range(2):
+                        lines[kind, (j - i + kind * decontam.SLACK // 2) // decontam.SLACK].add((i, tuple(values), tuple(slots(piece))))
+            for hits in lines.values():
+                pairs = Counter(p for _, a, b in hits for p in zip(a, b, strict=True))
+                best = {a: max((n, b) for (x, b), n in pairs.items() if x == a) for a, _ in pairs}
+                back = {b: max((n, a) for (a, x), n in pairs.items() if x == b) for _, b in pairs}
+                tied = any(sum(m == n and x == a for (x, _), m in pairs.items()) > 1 for a, (n, _) in best.items())
+                tied |= any(sum(m == n and x == b for (_, x), m in pairs.items()) > 1 for b, (n, _) in back.items())
+                agree = {i for i, a, b in hits if all(best[x][1] == y and back[y][1] == x for x, y in zip(a, b, strict=True))}
+                n = max(len(agree), len({i for i, a, b in hits if a == b}))
+                if n >= min(least, sum(map(len, own.values()))):
+                    out.setdefault((doc, item), []).append((n, tied))
+    return out
+
+
+def test_templates_against_brute_force(spark, make):
+    """Small vocabulary, so that windows meet often, with items of one template and phrases that all share."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["Tom", "Ann Lee", "12", "7km", "5 km", "9", "has", "red", "more", "than", "a"])
+    phrase = "we know that in all of these cases the very same words"
+    items = [(i, " ".join(word() for _ in range(rng.choice([3, 9, 16, 25])))) for i in range(12)]
+    items += [(20 + i, f"{phrase} {' '.join(word() for _ in range(14))}") for i in range(6)] + [(30, None), (31, "...")]
+    docs = []
+    for i in range(60):
+        base = (rng.choice(items)[1] or "").split()
+        for _ in range(rng.randrange(3)):
+            if base:
+                base[rng.randrange(len(base))] = word()
+        docs.append((i, " ".join([*(word() for _ in range(5)), phrase * (i % 2), *base, word()])))
+    docs += [(3, docs[7][1]), (None, docs[8][1]), (61, docs[9][1]), (62, None), (63, "")]
+    want = by_templates(docs, items)
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    sure = {k for k, v in want.items() if not all(tied for _, tied in v)}
+    assert len(sure) > 40 and sure <= got <= set(want)
+
+
 def test_every_planted_item_is_found(spark, sf_dir):
     docs, items = docs_of(spark, sf_dir), common.table(spark, sf_dir, "benchmark")
     texts = [r["text"] for r in items.collect()]
