@@ -76,7 +76,8 @@ def hash_strings(words: list[str] | pa.Array, lower: bool = False) -> np.ndarray
         return mix(total[ends[1:]] - total[ends[:-1]] + np.diff(ends).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def split_arrow(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """As ``split_words``, with the words as an Arrow array."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
@@ -98,7 +99,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     Returns the word code of each word, the number of words up to each text (one longer than
     the texts) and the words of the codes, distinct but for case. Null texts have no words.
     """
-    codes, offsets, words = _split(texts)
+    codes, offsets, words = split_arrow(texts)
     vocabulary = words.to_pylist()
     if lower:  # here and not in Arrow, whose kernel garbles sliced arrays
         vocabulary = [w.lower() if w.isascii() else w.translate(_LOWER) for w in vocabulary]
@@ -107,7 +108,7 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
 
 def split_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``split_words`` in lower case, with hashes in place of the words."""
-    codes, offsets, words = _split(texts)
+    codes, offsets, words = split_arrow(texts)
     return codes, offsets, hash_strings(words, lower=True)
 
 
