@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, toxicity, urlfilter
+from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, toxicity, urlfilter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,10 +74,17 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.columns(common.table(spark, sf_dir, "documents"))
 
 
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op6_chat_format, op7_toxicity, op8_lm_scoring, op9_near_duplicates, op10_media)
-}
+    for f in (
+        op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op6_chat_format, op7_toxicity, op8_lm_scoring, op9_near_duplicates, op10_media,
+        op13_near_vectors,
+    )
+}
 
 _HOST = r"coalesce(translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 _PATH = r"coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '')"
@@ -92,4 +99,18 @@ fits AS (
   FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN fits ON p.n = fits.n AND place = 1""",
+    "op13_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+              THEN CAST(embedding AS DOUBLE[]) END AS e
+  FROM embeddings),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.95),
+reach(a, b) AS (SELECT r, r FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+low AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, true) AS kept
+FROM v JOIN low ON v.r = low.a LEFT JOIN n ON v.r = n.a""",
 }
