@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, toxicity, urlfilter, vectors
+from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, spelling, toxicity, urlfilter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,10 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.columns(common.table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.typed_words(common.table(spark, sf_dir, "documents")))
+
+
 def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.linked_vectors(common.table(spark, sf_dir, "embeddings"))
 
@@ -82,13 +86,23 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op6_chat_format, op7_toxicity, op8_lm_scoring, op9_near_duplicates, op10_media,
-        op13_near_vectors,
+        op12_spelling_variants, op13_near_vectors,
     )
 }
 
 _HOST = r"coalesce(translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 _PATH = r"coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '')"
 
+# DuckDB has no crc32: its table by the rule of the polynomial, then byte by byte.
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table)"
+
+
+def _crc(text: str) -> str:
+    """SQL of the unsigned crc32 of a text's UTF-8 bytes, beside ``_CRC_TABLE``."""
+    code = f"list_transform(range(1, 2 * octet_length(encode({text})), 2), lambda i: CAST('0x' || hex(encode({text}))[i:i + 1] AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {code}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"
+
+
 ORACLES: dict[str, str] = {
     "op5_url_filter": f"""
 WITH rules(action, rhost, rpath) AS (VALUES {", ".join(str(r) for r in RULES)}),
@@ -99,6 +113,28 @@ fits AS (
   FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN fits ON p.n = fits.n AND place = 1""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+each AS (SELECT id, run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc("(id || ':' || run)")} AS h FROM each, {_CRC_TABLE}),
+typed AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+lost AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+keys AS (SELECT word, i, left(word, CAST(i AS INT) - 1) || substr(word, CAST(i AS INT) + 1) AS rest FROM lost),
+pairs AS (
+  SELECT a.word, b.word AS other FROM keys a JOIN keys b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, rest FROM keys WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM keys WHERE rest IN (SELECT word FROM words)),
+best AS (
+  SELECT p.word, w.n, other, o.n AS other_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, encode(other)) AS place
+  FROM pairs p JOIN words w ON w.word = p.word JOIN words o ON o.word = p.other),
+forms AS (SELECT word, other AS form, other_n AS form_n FROM best WHERE place = 1 AND other_n >= 10 * n),
+ways(word, stop) AS (SELECT word, word FROM words UNION SELECT ways.word, form FROM ways JOIN forms ON forms.word = ways.stop),
+roots AS (SELECT word, stop AS root FROM ways WHERE stop NOT IN (SELECT word FROM forms))
+SELECT w.word, form, root, w.n, coalesce(b.n_near, 0) AS n_near, form_n
+FROM words w JOIN roots r ON r.word = w.word LEFT JOIN forms f ON f.word = w.word LEFT JOIN best b ON b.word = w.word AND b.place = 1""",
     "op13_near_vectors": """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id,
