@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, spelling, toxicity, urlfilter, vectors
+from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, spelling, toxicity, trie, urlfilter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,10 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.columns(common.table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt(common.table(spark, sf_dir, "conversations")))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.typed_words(common.table(spark, sf_dir, "documents")))
 
@@ -86,7 +90,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_pii, op3_decontamination, op4_mixing, op5_url_filter, op6_chat_format, op7_toxicity, op8_lm_scoring, op9_near_duplicates, op10_media,
-        op12_spelling_variants, op13_near_vectors,
+        op11_prefix_trie, op12_spelling_variants, op13_near_vectors,
     )
 }
 
@@ -113,6 +117,31 @@ fits AS (
   FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN fits ON p.n = fits.n AND place = 1""",
+    "op11_prefix_trie": f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(coalesce(role, '')), md5(coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t), {_CRC_TABLE}),
+r AS (
+  SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND place < h
+  UNION ALL SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place >= h),
+d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, length(text) AS chars, md5(length(role) || ':' || role || text) AS step FROM r),
+p AS (
+  SELECT conv_id, depth, chars, md5(string_agg(step, '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM d
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+q AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS up, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS (
+  SELECT depth, key, min(conv_id) AS conv_id, any_value(up) AS up, any_value(chars) AS chars, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM q GROUP BY depth, key),
+k AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n_children FROM n GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.depth = n.depth AND k.key = n.key),
+s AS (
+  SELECT p.depth, p.key, CAST(sum((n_convs - 1) * m.chars) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM m JOIN p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY ALL)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN s ON s.depth = m.depth AND s.key = m.key LEFT JOIN n u ON u.depth = m.depth - 1 AND u.key = m.up""",
     "op12_spelling_variants": f"""
 WITH RECURSIVE runs AS (
   SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
