@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.operators.merge import assign_ids
+from ledgerforge.operators.merge import assign_ids, merge
 
 
 def rollup_daily(log: DataFrame) -> DataFrame:
     return log.groupBy(F.to_date("date_used").alias("day"), "endpoint").agg(F.count("*").alias("calls"), F.max("date_used").alias("last_used"))
 
 
-def fold(rolled: DataFrame, log: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
-    """(rolled days with all of the log before the cutoff, the rest of the log). Days that are already rolled are
-    skipped, so a repeated run over rows that were not yet deleted adds nothing."""
-    due = log.where(F.col("date_used") < cutoff)
-    fresh = rollup_daily(due).join(rolled.select("day").distinct(), "day", "left_anti")
-    return rolled.unionByName(fresh.select(*rolled.columns)), log.where(F.col("date_used") >= cutoff)
+def added(daily: DataFrame, totals: DataFrame, due: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(daily, totals) with the calls ``due`` added: calls add, the last use rises, and so do the requests of each day as counted among them."""
+    calls = rollup_daily(due).withColumn("arrival", F.lit(0))
+    days = requests_per_day(due).withColumn("arrival", F.lit(0))
+    daily = merge(daily, calls, ["day", "endpoint"], {"calls": "add", "last_used": "greatest"})
+    return daily, merge(totals, days, ["day"], {"calls": "add", "exact_requests": "add", "legacy_requests": "add"})
+
+
+def unrolled(log: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The rows of the log that no fold has taken. ``ledger``: (arrival, rolled_to), of each appended batch the time before which it was rolled."""
+    return log.join(ledger, "arrival", "left").where(F.col("rolled_to").isNull() | (F.col("date_used") >= F.col("rolled_to"))).select(*log.columns)
+
+
+def fold(daily: DataFrame, totals: DataFrame, log: DataFrame, ledger: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(daily, totals, rest of the log, ledger): what of the log is before the cutoff, and was not folded before, is added to the rollups.
+
+    The log's ``arrival`` is the number of the batch that appended a row. Late rows of a day that is already rolled come in a batch of their
+    own and add to it; a repeated run over rows that were not yet deleted adds nothing, as the ledger has their batch.
+    """
+    daily, totals = added(daily, totals, unrolled(log, ledger).where(F.col("date_used") < cutoff))
+    seen = log.select("arrival").distinct().withColumn("rolled_to", cutoff)
+    ledger = ledger.unionByName(seen).groupBy("arrival").agg(F.max("rolled_to").alias("rolled_to"))
+    return daily, totals, log.where(F.col("date_used") >= cutoff), ledger
 
 
 def alltime(rolled: DataFrame, tail: DataFrame) -> DataFrame:

@@ -224,12 +224,23 @@ def test_audit_of_empty_source(spark):
     assert {r["code"]: (r["source_n"], r["stored_n"], r["missing"], r["store_only"], r["coverage"]) for r in got} == {"a": (2, 1, 1, 0, 50.0), "b": (0, 1, 0, 1, 100.0)}
 
 
-def test_usage_fold_is_safe_to_repeat(spark):
-    log = spark.createDataFrame([("e", T0, 1), ("e", T0 + dt.timedelta(days=2), 2)], "endpoint string, date_used timestamp_ntz, request_id long")
-    none = usage.rollup_daily(log.limit(0))
-    once, rest = usage.fold(none, log, F.lit(T0 + dt.timedelta(days=1)).cast("timestamp_ntz"))
-    again, _ = usage.fold(once, log, F.lit(T0 + dt.timedelta(days=1)).cast("timestamp_ntz"))
-    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, again.collect())) and rest.count() == 1
+def test_usage_fold_adds_late_rows_and_repeats_nothing(spark):
+    at = lambda day, hour=0: T0 + dt.timedelta(days=day, hours=hour)
+    schema = "endpoint string, date_used timestamp_ntz, request_id long, arrival int"
+    log = spark.createDataFrame([("e", T0, 1, 1), ("e", T0, 1, 1), ("f", at(0, 1), 0, 1), ("e", at(2), 2, 1)], schema)
+    late = spark.createDataFrame([("e", at(0, 5), 1, 2), ("e", at(0, 5), None, 2)], schema)
+    cut = F.lit(at(1)).cast("timestamp_ntz")
+    none = usage.rollup_daily(log.limit(0)), usage.requests_per_day(log.limit(0))
+    ledger = spark.createDataFrame([], "arrival int, rolled_to timestamp_ntz")
+    daily, totals, rest, ledger = usage.fold(*none, log, ledger, cut)
+    want = {("e", 2, T0), ("f", 1, at(0, 1))}
+    for _ in range(2):
+        assert {(r["endpoint"], r["calls"], r["last_used"]) for r in daily.collect()} == want
+        assert [tuple(r)[1:] for r in totals.collect()] == [(3, 1, 1)] and rest.count() == 1
+        daily, totals, rest, ledger = usage.fold(daily, totals, log, ledger, cut)  # over rows that are still there
+    daily, totals, rest, ledger = usage.fold(daily, totals, log.unionByName(late), ledger, cut)
+    assert {(r["endpoint"], r["calls"], r["last_used"]) for r in daily.collect()} == {("e", 4, at(0, 5)), ("f", 1, at(0, 1))}
+    assert [tuple(r)[1:] for r in totals.collect()] == [(5, 2, 1)]
 
 
 def test_signed_corrections(spark):
