@@ -84,6 +84,7 @@ def in_pieces(rows: DataFrame, order: list[str], piece: int = 1 << 18, pieces: i
     """The rows in sorted range partitions of about ``piece`` rows (or ``pieces`` of them) in the shared folder, with ``_piece``, the
     partition's number, and ``_at``, which rises over all rows. Rows that tie in the whole order share a piece."""
     if pieces is None:
+        rows = written(rows, "unsorted")  # so that counting, sampling and sorting run their plan once
         pieces = 1 + rows.count() // piece
     held = rows.repartitionByRange(pieces, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     return written(held, "pieces").withColumn("_piece", F.shiftright("_at", 33))  # ids hold the partition's number above bit 33
@@ -114,6 +115,22 @@ def summed_before(rows: DataFrame, key: str, order: str, value: str, name: str =
     return both.withColumn(name, F.coalesce("_i", F.lit(0)) + F.col("_first")).select(*rows.columns, name)
 
 
+def carried(held: DataFrame, keys: list[str], values: dict[str, tuple[str, str]], upto: int = -1) -> DataFrame:
+    """Rows of ``in_pieces`` with running sums, minima or maxima over the rows of the same keys before them (``upto`` 0: and their own), by pieces, so that no key is
+    one task. ``values``: name of the result, (sum, min or max, column); null where there is no such row."""
+    of = {"sum": F.sum, "min": F.min, "max": F.max}
+    both_of = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
+    inside = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, upto)
+    before = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ends = held.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_piece").alias("_p")).agg(*[of[f](c).alias(f"_n_{name}") for name, (f, c) in values.items()])
+    ends = ends.select(*[f"_k_{k}" for k in keys], "_p", *[of[f](f"_n_{name}").over(before).alias(f"_b_{name}") for name, (f, _) in values.items()])
+    same = F.col("_piece") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    rows = held.select("*", *[of[f](c).over(inside).alias(f"_i_{name}") for name, (f, c) in values.items()]).join(ends, same)
+    return rows.select(*held.columns, *[both_of[f](F.col(f"_i_{name}"), F.col(f"_b_{name}")).alias(name) for name, (f, _) in values.items()])
+
+
 def random_sample(rows: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     """``n`` rows at random: those with the least digests of key and seed, so that reruns agree and any row is as likely as another.
     Null keys are keys like others."""

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.functions import NTZ, trunc
-from ledgerforge.operators.browse import numbered, summed_before
+from ledgerforge.operators.browse import carried, in_pieces, numbered, summed_before
+from ledgerforge.session import written
 
 
 def _lit(at: dt.datetime) -> Column:
@@ -102,14 +103,13 @@ def watermark(bands: DataFrame, stored: DataFrame) -> DataFrame:
     return stored.join(now, "stream", "full").select("stream", F.greatest("covered", "now").alias("covered"))
 
 
-def union_spans(spans: DataFrame, keys: list[str] = ["stream"]) -> DataFrame:  # noqa: B006
-    """Overlapping or touching spans of a stream become one."""
-    order = Window.partitionBy(*keys).orderBy("from_us", "to_us")
-    reach = F.max("to_us").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(reach.isNull() | (F.col("from_us") > reach), 1).otherwise(0)
-    island = F.sum("_f").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    marked = spans.where("to_us > from_us").withColumn("_f", fresh).withColumn("_i", island)
-    return marked.groupBy(*keys, "_i").agg(F.min("from_us").alias("from_us"), F.max("to_us").alias("to_us")).drop("_i")
+def union_spans(spans: DataFrame, keys: list[str] = ["stream"], piece: int = 1 << 18) -> DataFrame:  # noqa: B006
+    """Overlapping or touching spans of a stream become one. By sorted pieces of about ``piece`` spans, so that no stream is one task."""
+    held = in_pieces(spans.where("to_us > from_us").select(*keys, "from_us", "to_us"), [*keys, "from_us", "to_us"], piece)
+    marked = carried(held, keys, {"_reach": ("max", "to_us")})
+    marked = marked.withColumn("_start", F.when(F.col("_reach").isNull() | (F.col("from_us") > F.col("_reach")), F.col("_at")))
+    islands = carried(marked, keys, {"_i": ("max", "_start")}, upto=0)
+    return islands.groupBy(*keys, "_i").agg(F.min("from_us").alias("from_us"), F.max("to_us").alias("to_us")).drop("_i")
 
 
 def clip_spans(spans: DataFrame, edge: Column) -> DataFrame:
@@ -122,14 +122,21 @@ def clip_spans(spans: DataFrame, edge: Column) -> DataFrame:
     return cut.select("stream", "p.state", F.col("p.a").alias("from_us"), F.col("p.b").alias("to_us"))
 
 
-def subtract_spans(spans: DataFrame, done: DataFrame) -> DataFrame:
-    """What of each stream's spans the done spans leave: a sweep over starts and ends with two depths."""
-    edge = lambda df, kind: df.where("to_us > from_us").select("stream", F.explode(F.array(F.struct(F.col("from_us").alias("at"), F.lit(1).alias("step")), F.struct(F.col("to_us").alias("at"), F.lit(-1).alias("step")))).alias("e"), F.lit(kind).alias("kind")).select("stream", "e.at", "e.step", "kind")
-    edges = edge(spans, "want").unionByName(edge(done, "done")).groupBy("stream", "at").agg(F.sum(F.when(F.col("kind") == "want", F.col("step")).otherwise(0)).alias("w"), F.sum(F.when(F.col("kind") == "done", F.col("step")).otherwise(0)).alias("d"))
-    order = Window.partitionBy("stream").orderBy("at")
-    depth = lambda c: F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    pieces = edges.select("stream", F.col("at").alias("from_us"), F.lead("at").over(order).alias("to_us"), depth("w").alias("w"), depth("d").alias("d"))
-    return union_spans(pieces.where("w > 0 and d = 0").select("stream", "from_us", "to_us"))
+def subtract_spans(spans: DataFrame, done: DataFrame, piece: int = 1 << 18) -> DataFrame:
+    """What of each stream's spans the done spans leave: a sweep over starts and ends with two depths, by sorted pieces, so that no stream is one task."""
+    ends = F.array(F.struct(F.col("from_us").alias("at"), F.lit(1).alias("step")), F.struct(F.col("to_us").alias("at"), F.lit(-1).alias("step")))
+    edge = lambda df, kind: df.where("to_us > from_us").select("stream", F.explode(ends).alias("e"), F.lit(kind).alias("kind")).select("stream", "e.at", "e.step", "kind")
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("step")).otherwise(0))
+    edges = edge(spans, "want").unionByName(edge(done, "done")).groupBy("stream", "at").agg(of("want").alias("w"), of("done").alias("d"))
+    held = in_pieces(edges, ["stream", "at"], piece)
+    deep = carried(held, ["stream"], {"_w": ("sum", "w"), "_d": ("sum", "d")}, upto=0)
+    # The next edge: in the piece, or the first of the stream's next one.
+    nexts = held.groupBy(F.col("stream").alias("_s"), F.col("_piece").alias("_q")).agg(F.min("at").alias("_first"))
+    nexts = nexts.withColumn("_next", F.lead("_first").over(Window.partitionBy("_s").orderBy("_q"))).drop("_first")
+    deep = deep.withColumn("_lead", F.lead("at").over(Window.partitionBy("_piece", "stream").orderBy("_at")))
+    pieces = deep.join(nexts, F.col("stream").eqNullSafe(F.col("_s")) & (F.col("_piece") == F.col("_q")))
+    pieces = pieces.where("_w > 0 and _d = 0").select("stream", F.col("at").alias("from_us"), F.coalesce("_lead", "_next").alias("to_us"))
+    return union_spans(pieces, piece=piece)
 
 
 def walk_progress(walks: DataFrame) -> DataFrame:
@@ -138,12 +145,35 @@ def walk_progress(walks: DataFrame) -> DataFrame:
     return walks.agg(F.round(F.avg(part) * 100, 4).alias("percent"), F.count(part).alias("walks"))
 
 
-def audit(source: DataFrame, store: DataFrame, stream: str, key: str) -> DataFrame:
-    """Per stream: rows at the source, stored, missing, only stored, and coverage (100 for an empty source)."""
-    s = source.select(stream, key).distinct().withColumn("_s", F.lit(1))
-    h = store.select(stream, key).distinct().withColumn("_h", F.lit(1))
-    both = s.join(h, [stream, key], "full").groupBy(stream).agg(
+def _digests(rows: DataFrame, stream: str, key: str, bucket: Column) -> DataFrame:
+    """Count and order-free digest of each (stream, bucket): the sum of the keys' hashes, so that repetitions do not cancel."""
+    h = F.sum(F.xxhash64(key).cast("decimal(20,0)"))
+    return rows.groupBy(F.col(stream).alias("_s"), bucket.alias("_b")).agg(F.count("*").alias("n"), h.alias("h"), F.count_if(F.col(key).isNull()).alias("nulls"))
+
+
+def audit(source: DataFrame, store: DataFrame, stream: str, key: str, bucket: Column | None = None) -> DataFrame:
+    """Per stream: rows at the source, stored, missing, only stored, and coverage (100 for an empty source).
+
+    Both sides are first compared by count and digest of each ``bucket`` (an hour of the row's time, say; by default one of 1024 by hash of the key), which needs a row for
+    each bucket only; keys are shuffled for buckets that differ alone. The store takes a key once, the source may list it many times. A null key is always missing
+    and only stored.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(1024)) if bucket is None else bucket
+    left, right = (_digests(df, stream, key, bucket) for df in (source, store))
+    same = F.col("_s").eqNullSafe(F.col("_s2")) & F.col("_b").eqNullSafe(F.col("_b2"))
+    both = left.join(right.select(F.col("_s").alias("_s2"), F.col("_b").alias("_b2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("nulls").alias("nulls2")), same, "full")
+    equal = F.coalesce((F.col("n") == F.col("n2")) & (F.col("h") == F.col("h2")) & (F.col("nulls") == 0) & (F.col("nulls2") == 0), F.lit(False))
+    both = both.select(F.coalesce("_s", "_s2").alias("_s"), F.coalesce("_b", "_b2").alias("_b"), "n", equal.alias("equal"))
+    both = written(both, "digests")
+    zero = F.lit(0).cast("bigint")
+    clean = both.where("equal").groupBy(F.col("_s").alias(stream)).agg(F.sum("n").alias("source_n")).select(stream, "source_n", F.col("source_n").alias("stored_n"), zero.alias("missing"), zero.alias("store_only"))
+    open_ = both.where("not equal").select("_s", "_b")
+    inside = lambda df: df.withColumn("_bucket", bucket).join(open_, F.col(stream).eqNullSafe(F.col("_s")) & F.col("_bucket").eqNullSafe(F.col("_b")), "left_semi")
+    s = inside(source).select(stream, key).distinct().withColumn("_s", F.lit(1))
+    h = inside(store).select(stream, key).distinct().withColumn("_h", F.lit(1))
+    found = s.join(h, [stream, key], "full").groupBy(stream).agg(
         F.count("_s").alias("source_n"), F.count("_h").alias("stored_n"), F.count_if(F.col("_h").isNull()).alias("missing"), F.count_if(F.col("_s").isNull()).alias("store_only")
     )
+    both = found.unionByName(clean).groupBy(stream).agg(*[F.sum(c).alias(c) for c in ("source_n", "stored_n", "missing", "store_only")])
     covered = F.when(F.col("source_n") == 0, 100.0).otherwise(F.round((F.col("source_n") - F.col("missing")) * 100 / F.col("source_n"), 4))
     return both.withColumn("coverage", covered)

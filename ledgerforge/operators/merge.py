@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.operators.browse import numbered
+from ledgerforge.session import written
 
 #: new: the batch's value, null included; old: the first value known; coalesce: the batch's unless null; greatest: never
 #: falls, null is skipped; add: sum of both.
@@ -77,6 +78,32 @@ def assign_ids(known: DataFrame, keys: DataFrame, key: str, number: str = "id")
     return known.select(key, number).unionByName(placed.select(key, number))
 
 
+def assign_many(known: DataFrame, keys: DataFrame) -> DataFrame:
+    """(dim, key, id) of several dimensions at once: known keys keep their ids, new ones are numbered on within their dimension, in order of
+    their md5 digests. ``keys``: dim, key; null keys get none."""
+    fresh = keys.select("dim", "key").where(F.col("key").isNotNull()).distinct().join(known.select("dim", "key"), ["dim", "key"], "left_anti")
+    digest = F.conv(F.substring(F.md5(F.col("key").cast("binary")), 1, 12), 16, 10).cast("bigint")
+    placed = written(numbered(fresh.withColumn("_digest", digest), ["dim", "_digest", "key"], "_n"), "fresh-keys")
+    first = placed.groupBy("dim").agg(F.min("_n").alias("_first")).join(known.groupBy("dim").agg(F.max("id").alias("_top")), "dim", "left")  # a row for each dimension
+    placed = placed.join(F.broadcast(first), "dim")
+    new = placed.select("dim", "key", (F.col("_n") - F.col("_first") + 1 + F.coalesce("_top", F.lit(0))).alias("id"))
+    return known.select("dim", "key", "id").unionByName(new)
+
+
+def resolved(rows: DataFrame, roles: dict[str, str], known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with an id for each role, all keys as (dim, key, id)). ``roles``: a column of text and the dimension whose keys it holds; its id is the
+    column ``<role>_id``, null for a null key.
+
+    All roles go as one long table (row, role, key): one get-or-create, one join with the keys and one aggregate back, however many roles there are.
+    """
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows-to-resolve")
+    each = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(d).alias("dim"), F.col(r).cast("string").alias("key")) for r, d in roles.items()])
+    long = rows.select("_row", F.explode(each).alias("r")).select("_row", "r.*").where("key is not null")
+    ids = written(assign_many(known, long), "dimension-keys")
+    found = long.join(ids, ["dim", "key"]).groupBy("_row").agg(*[F.max(F.when(F.col("role") == r, F.col("id"))).alias(f"{r}_id") for r in roles])
+    return rows.join(found, "_row", "left").drop("_row"), ids
+
+
 def seeded(held: DataFrame, values: list, key: str, number: str = "id") -> DataFrame:
     """A dimension with the seed values that it lacks, numbered on; a repeated seed adds nothing."""
     seeds = held.sparkSession.createDataFrame([(v,) for v in values], f"{key} {dict(held.dtypes)[key]}")

@@ -44,23 +44,52 @@ def last_instants(snapshots: DataFrame, n: int = 3) -> DataFrame:
     return rows.groupBy("week_start", "entity_id").agg(*[value(i) for i in range(1, n + 1)])
 
 
-def candidates(latest: DataFrame, straddle: DataFrame, derived: DataFrame, active: DataFrame, corrected: DataFrame) -> DataFrame:
-    """Users whose official total exceeds derived and active damage by what straddled the reset, while their snapshots stand still.
+def straddlers(entries: DataFrame, rounds: DataFrame) -> DataFrame:
+    """(entity_id, week_start, straddle): damage of rounds that began before a reset and ended after it, for each reset that they cross."""
+    reset = F.sequence(week(F.col("created_at")) + F.expr("INTERVAL 7 DAYS"), F.greatest(week(F.col("ended_at")), week(F.col("created_at")) + F.expr("INTERVAL 7 DAYS")), F.expr("INTERVAL 7 DAYS"))
+    crossed = rounds.where("ended_at > created_at").select("battle_id", F.col("number").alias("round_number"), "ended_at", F.explode(reset).alias("week_start")).where("week_start < ended_at").drop("ended_at")
+    rows = entries.where("side in (1, 2) and damage is not null").select("battle_id", "round_number", "entity_id", "damage")
+    return rows.join(crossed, ["battle_id", "round_number"]).groupBy("entity_id", "week_start").agg(F.sum("damage").alias("straddle"))
 
-    ``latest``: entity_id, value_1, value_2, value_3 (null where there is no such snapshot).
-    """
-    rows = latest.join(straddle, "entity_id").join(derived, "entity_id", "left").join(active, "entity_id", "left").join(corrected, "entity_id", "left_anti")
-    post = F.col("value_1") - F.coalesce("derived", F.lit(0)) - F.coalesce("active", F.lit(0))
-    still = (F.col("value_1") == F.col("value_2")) & (F.col("value_3").isNull() | (F.col("value_3") == F.col("value_2")))
-    return rows.withColumn("post", post).where(still & (F.col("post") > 0) & (F.col("post") <= F.col("straddle"))).select("entity_id", "post", "straddle", F.col("value_1").alias("official"))
+
+def active_damage(entries: DataFrame, battles: DataFrame) -> DataFrame:
+    """(entity_id, week_start, active): damage in battles that still run, by the week that they began in; of each side the greatest value read."""
+    open_ = battles.where("ended_at is null").select("battle_id", week(F.col("created_at")).alias("week_start"))
+    top = entries.where("side in (1, 2)").join(open_, "battle_id").groupBy("entity_id", "week_start", "battle_id", "side").agg(F.max("damage").alias("m"))
+    return top.groupBy("entity_id", "week_start").agg(F.sum("m").alias("active"))
 
 
-def due_for_recheck(rows: DataFrame, now: Column, idle: str = "2 hours", recheck: str = "30 minutes", budget: int = 100) -> DataFrame:
+def reconciled(entries: DataFrame, rounds: DataFrame, battles: DataFrame, snapshots: DataFrame, corrections: DataFrame) -> DataFrame:
+    """(entity_id, week_start, official, straddle, derived, active, post) of the users and weeks that a correction would explain.
+
+    The official total at the week's last snapshot exceeds derived and active damage by ``post``, which is at most what straddled the reset, and
+    the snapshots stand still: the last three are equal, or the last two where the week has two, or it has one. Users that are corrected in the week or
+    the one before, and those in a battle that began before the reset and still runs, are left out. ``snapshots``: week_start, snapshot_at, entity_id,
+    value; ``corrections``: user_id, week_start, amount.
+    """
+    key = ["entity_id", "week_start"]
+    n = snapshots.groupBy("week_start").agg(F.countDistinct("snapshot_at").alias("instants"))  # a row for each week
+    derived = weekly_damage(entries, rounds, corrections).select(F.col("user_id").alias("entity_id"), "week_start", F.col("damage").alias("derived"))
+    rows = last_instants(snapshots).join(F.broadcast(n), "week_start").join(straddlers(entries, rounds), key)
+    rows = rows.join(derived, key, "left").join(active_damage(entries, battles), key, "left")
+    v1, v2, v3 = (F.col(f"value_{i}") for i in (1, 2, 3))
+    still = v1.isNotNull() & F.when(F.col("instants") >= 3, (v1 == v2) & (v2 == v3)).when(F.col("instants") == 2, v1 == v2).otherwise(True)
+    derived, active = F.coalesce("derived", F.lit(0)), F.coalesce("active", F.lit(0))
+    rows = rows.where(still).select(*key, v1.alias("official"), "straddle", derived.alias("derived"), active.alias("active"), (v1 - derived - active).alias("post"))
+    rows = rows.where("post > 0 and post <= straddle")
+    done = corrections.select(F.col("user_id").alias("entity_id"), F.explode(F.array("week_start", F.col("week_start") + F.expr("INTERVAL 7 DAYS"))).alias("week_start"))
+    open_ = battles.where("ended_at is null").select("battle_id", F.col("created_at").alias("_began"))
+    first = entries.where("side in (1, 2)").join(open_, "battle_id").groupBy("entity_id").agg(F.min("_began").alias("_first"))
+    rows = rows.join(done, key, "left_anti").join(first, "entity_id", "left")
+    return rows.where(F.col("_first").isNull() | (F.col("_first") >= F.col("week_start"))).drop("_first")
+
+
+def due_for_recheck(rows: DataFrame, now: Column, idle: str = "2 hours", recheck: str = "30 minutes", budget: int = 100, tie: tuple[str, ...] = ("entity_id",)) -> DataFrame:
     """Candidates that may be corrected now: last connected ``idle`` ago or longer, or never, and not looked at within ``recheck``; at most
     ``budget`` of them, those that wait longest first. ``rows``: entity_id, last_connected, last_checked."""
     quiet = F.coalesce(F.col("last_connected") <= now - F.expr(f"INTERVAL {idle}"), F.lit(True))
     waited = F.coalesce(F.col("last_checked") <= now - F.expr(f"INTERVAL {recheck}"), F.lit(True))
-    return rows.where(quiet & waited).orderBy(F.asc_nulls_first("last_checked"), "entity_id").limit(budget)
+    return rows.where(quiet & waited).orderBy(F.asc_nulls_first("last_checked"), *tie).limit(budget)
 
 
 def without_open_battles(rows: DataFrame, entries: DataFrame, battles: DataFrame, reset: Column) -> DataFrame:

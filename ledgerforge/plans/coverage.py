@@ -187,7 +187,7 @@ AUDIT = ", s AS (SELECT DISTINCT item_code, tx_id, created_at FROM tx WHERE leng
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = t.tx(spark, d).select("item_code", "tx_id", "created_at")
-    return rows.where("length(tx_id) % 5 != 0"), rows.where("length(tx_id) % 4 != 0")
+    return rows.where("length(tx_id) % 5 != 0"), rows.where("length(tx_id) % 4 != 0").dropDuplicates(["item_code", "tx_id"])  # the store takes an id once
 
 
 @query("tx", AUDIT + ", b AS (SELECT item_code, s.tx_id IS NOT NULL AS at_source, h.tx_id IS NOT NULL AS held FROM (SELECT DISTINCT item_code, tx_id FROM s) s FULL JOIN h USING (item_code, tx_id)) SELECT item_code, count(*) FILTER (at_source) AS source_n, count(*) FILTER (held) AS stored_n, count(*) FILTER (NOT held) AS missing, count(*) FILTER (NOT at_source) AS store_only, round(CASE WHEN count(*) FILTER (at_source) = 0 THEN 100.0 ELSE (count(*) FILTER (at_source) - count(*) FILTER (NOT held)) * 100.0 / count(*) FILTER (at_source) END, 4) AS coverage FROM b GROUP BY 1")
@@ -195,6 +195,15 @@ def audit_streams(spark: SparkSession, d: str) -> DataFrame:
     return c.audit(*_sides(spark, d), "item_code", "tx_id")
 
 
+@query("tx", """, s AS (SELECT DISTINCT item_code, tx_id FROM tx), h AS (SELECT DISTINCT item_code, tx_id FROM tx WHERE created_at NOT BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-03-20')
+SELECT item_code, count(*) AS source_n, count(h.tx_id) AS stored_n, count(*) - count(h.tx_id) AS missing, CAST(0 AS BIGINT) AS store_only, round(count(h.tx_id) * 100.0 / count(*), 4) AS coverage FROM s LEFT JOIN h USING (item_code, tx_id) GROUP BY 1""")
+def audit_gap(spark: SparkSession, d: str) -> DataFrame:
+    """A store that lacks three weeks: only the months that differ are compared by id."""
+    rows = t.tx(spark, d).select("item_code", "tx_id", "created_at").dropDuplicates(["item_code", "tx_id"])
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    return c.audit(rows, rows.where(~F.col("created_at").between(at("1996-03-01"), at("1996-03-20"))), "item_code", "tx_id", F.date_trunc("month", "created_at"))
+
+
 @query("tx", AUDIT + " SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS missing FROM s WHERE tx_id NOT IN (SELECT tx_id FROM h) GROUP BY 1")
 def audit_missing_months(spark: SparkSession, d: str) -> DataFrame:
     source, store = _sides(spark, d)

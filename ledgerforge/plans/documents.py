@@ -43,6 +43,7 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("k")
     text = F.concat(
         F.format_string('{"_id":"%024x","createdAt":"', F.col("event_id")), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.format_string('Z","money":%.2f,"sellerId":"s%d"', F.col("value"), F.col("user_id")),
+        part(k % 7 != 0, F.format_string(',"buyerId":"s%d"', k * 3)), part(k % 11 == 0, F.format_string(',"sellerPartyId":"p%d"', k)), part(k % 8 == 3, F.format_string(',"buyerCountryId":"c%d"', k)),
         part(k % 4 == 0, F.format_string(',"sellerMuId":"m%d"', k)), part(k % 4 == 1, F.lit(',"sellerMuId":null')), part(k % 3 != 0, F.format_string(',"sellerCountryId":"c%d"', k)),
         F.format_string(',"itemCode":"%s"', F.when(k % 5 == 0, "gun").otherwise("case")), part(k % 2 == 0, F.concat(F.format_string(',"item":{"_id":"i%d"', k), F.when(k % 6 == 0, ',"code":"helmet"').when(k % 6 == 2, ',"code":"gun"').otherwise(""), F.format_string(',"skills":{"zzz":"x","attack":%d,"b":%d,"criticalChance":7}}', k, k + 1))),
         F.format_string(',"transactionType":"%s"}', F.col("event_type")),
@@ -57,10 +58,42 @@ SECOND = "CASE WHEN k % 4 = 0 THEN concat('m', k) WHEN k % 4 = 1 THEN NULL WHEN
 SKILLS = f"CASE WHEN k % 2 <> 0 THEN NULL WHEN coalesce({RESULT}, {CODE}) = 'gun' THEN CAST(k AS DOUBLE) ELSE CAST(k + 1 AS DOUBLE) END AS skill_1, CASE WHEN k % 2 = 0 AND coalesce({RESULT}, {CODE}) = 'gun' THEN 7.0::DOUBLE END AS skill_2"
 
 
-@query("", DOCS + f"SELECT event_id, lower(lpad(to_hex(event_id), 24, '0')) AS tx_id, date_trunc('millisecond', ts) AS created_at, round(value, 2) AS money, concat('s', user_id) AS seller, {SECOND} AS seller_second, {CODE} AS item_code, {RESULT} AS result_code, {SKILLS}, event_type AS tx_type FROM p")
+#: Each text column of a transaction that names something, and what: parties and units are accounts by id too.
+ROLES = {
+    "seller": "account", "buyer": "account", "seller_second": "account", "buyer_second": "account", "seller_party": "account",
+    "item_code": "code", "skill_code": "code", "item": "item", "tx_type": "type",
+}
+_ROLE_SQL = {
+    "seller": "concat('s', user_id)", "buyer": "CASE WHEN k % 7 <> 0 THEN concat('s', k * 3) END", "seller_second": SECOND, "buyer_second": "CASE WHEN k % 8 = 3 THEN concat('c', k) END",
+    "seller_party": "CASE WHEN k % 11 = 0 THEN concat('p', k) END", "item_code": CODE, "skill_code": f"coalesce({RESULT}, {CODE})", "item": "CASE WHEN k % 2 = 0 THEN concat('i', k) END", "tx_type": "event_type",
+}
+_IDS = f""", r AS (SELECT event_id, ts, value, k, {", ".join(f"{x} AS {r}" for r, x in _ROLE_SQL.items())} FROM p),
+known AS (SELECT 'account' AS dim, concat('s', c_custkey) AS key, CAST(c_custkey // 4 AS BIGINT) AS id FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT 'code', 'gun', 5),
+keys AS ({" UNION ".join(f"SELECT '{d}' AS dim, {r} AS key FROM r" for r, d in ROLES.items())}),
+fresh AS (SELECT dim, key FROM keys ANTI JOIN known USING (dim, key) WHERE key IS NOT NULL),
+ids AS (SELECT * FROM known UNION ALL SELECT dim, key, CAST(coalesce((SELECT max(id) FROM known WHERE known.dim = fresh.dim), 0) + row_number() OVER (PARTITION BY dim ORDER BY substr(md5(key), 1, 12), key) AS BIGINT) FROM fresh)
+"""
+_ID_COLUMNS = ", ".join(f"(SELECT id FROM ids WHERE dim = '{d}' AND key = r.{r}) AS {r}_id" for r, d in ROLES.items())
+
+
+def _resolved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = doc.normalised(_docs(spark, d)).withColumn("skill_code", F.coalesce("result_code", "item_code")).withColumnRenamed("item_id", "item")
+    accounts = t.load(spark, d, "customer").where("c_custkey % 4 = 0").select(F.lit("account").alias("dim"), F.concat(F.lit("s"), "c_custkey").alias("key"), F.floor(F.col("c_custkey") / 4).cast("bigint").alias("id"))
+    known = accounts.unionByName(spark.createDataFrame([("code", "gun", 5)], "dim string, key string, id bigint"))
+    return m.resolved(rows, ROLES, known)
+
+
+@query("", DOCS + _IDS + f"SELECT event_id, lower(lpad(to_hex(event_id), 24, '0')) AS tx_id, date_trunc('millisecond', ts) AS created_at, round(value, 2) AS money, seller, seller_second, seller_party, item_code, {RESULT} AS result_code, {SKILLS}, tx_type, {_ID_COLUMNS} FROM r")
 def tx_normalize(spark: SparkSession, d: str) -> DataFrame:
-    rows = doc.normalised(_docs(spark, d))
-    return rows.select("event_id", F.lower("tx_id").alias("tx_id"), "created_at", "money", "seller", "seller_second", "item_code", "result_code", "skill_1", "skill_2", "tx_type")
+    """Documents as rows, with the ids of all that they name."""
+    rows, _ = _resolved(spark, d)
+    return rows.select("event_id", F.lower("tx_id").alias("tx_id"), "created_at", "money", "seller", "seller_second", "seller_party", "item_code", "result_code", "skill_1", "skill_2", "tx_type", *[f"{r}_id" for r in ROLES])
+
+
+@query("", DOCS + _IDS + "SELECT * FROM ids")
+def dim_resolve(spark: SparkSession, d: str) -> DataFrame:
+    """The dimensions after the documents: known ids stay, new keys are numbered on within each."""
+    return _resolved(spark, d)[1]
 
 
 @query("", DOCS + f"SELECT event_id, {RESULT} AS result_code, coalesce({RESULT}, {CODE}) AS skill_code FROM p")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerforge import fixtures as t
 from ledgerforge.operators import weekly as w
 from ledgerforge.plans.registry import query
+from ledgerforge.session import written
 
 CORRECTIONS = """, corrections AS (SELECT c_custkey AS user_id, TIMESTAMP '1997-01-06' + to_days(CAST(7 * (c_custkey % 3) AS INTEGER)) AS week_start, CAST(c_custkey % 5 * 10 - 20 AS BIGINT) AS amount FROM customer),
 starts AS (SELECT battle_id, number AS round_number, CAST(date_trunc('week', created_at) AS TIMESTAMP) AS week_start FROM rounds),
@@ -125,10 +126,61 @@ def active_damage(spark: SparkSession, d: str) -> DataFrame:
     return top.groupBy("entity_id").agg(F.sum("m").alias("active"))
 
 
-@query("week_snapshot", LAST3 + """, c AS (SELECT entity_id, value_1, value_2, value_3, CAST(value_1 // 2 AS BIGINT) AS straddle, CAST(value_1 - entity_id % 40 AS BIGINT) AS derived, CAST(entity_id % 7 AS BIGINT) AS active FROM l WHERE week_start = TIMESTAMP '2024-01-15')
-SELECT entity_id, value_1 - derived - active AS post, straddle, value_1 AS official FROM c
-WHERE value_1 = value_2 AND (value_3 IS NULL OR value_3 = value_2) AND value_1 - derived - active > 0 AND value_1 - derived - active <= straddle AND entity_id % 11 <> 0""")
+# Official totals over the ranked weeks: derived and active damage, of most users with a part of what straddled, at three instants (every fourth week: two), which differ for some users.
+RECONCILED = CORRECTIONS + """, fixed AS (SELECT * FROM corrections WHERE user_id % 6 = 1),
+crossed AS (SELECT battle_id, number AS round_number, ended_at, unnest(generate_series(CAST(date_trunc('week', created_at) AS TIMESTAMP) + INTERVAL 7 DAY, CAST(date_trunc('week', ended_at) AS TIMESTAMP), INTERVAL 7 DAY)) AS week_start FROM rounds),
+straddle AS (SELECT entity_id, c.week_start, CAST(sum(damage) AS BIGINT) AS straddle FROM rank_entry JOIN crossed c USING (battle_id, round_number) WHERE c.week_start < c.ended_at AND side IN (1, 2) GROUP BY 1, 2),
+derived AS (SELECT user_id AS entity_id, week_start, coalesce(base, 0) + coalesce(amount, 0) AS derived FROM base FULL JOIN fixed USING (user_id, week_start) WHERE base IS NOT NULL OR amount <> 0),
+tops AS (SELECT entity_id, CAST(date_trunc('week', b.created_at) AS TIMESTAMP) AS week_start, battle_id, side, max(damage) AS m FROM rank_entry JOIN battle b USING (battle_id) WHERE b.ended_at IS NULL AND side IN (1, 2) GROUP BY 1, 2, 3, 4),
+active AS (SELECT entity_id, week_start, CAST(sum(m) AS BIGINT) AS active FROM tops GROUP BY 1, 2),
+official AS (
+  SELECT entity_id, week_start, CAST(coalesce(derived, 0) + coalesce(active, 0) + CASE entity_id % 5 WHEN 0 THEN 0 WHEN 1 THEN straddle + 1 ELSE (straddle + 1) // 2 END AS BIGINT) AS value
+  FROM straddle LEFT JOIN derived USING (entity_id, week_start) LEFT JOIN active USING (entity_id, week_start)),
+snaps AS (
+  SELECT week_start, week_start + to_days(CAST(i AS INTEGER)) AS snapshot_at, entity_id, value - CASE WHEN entity_id % 9 = 2 AND i = 2 OR entity_id % 9 = 4 AND i = 1 THEN 1 ELSE 0 END AS value
+  FROM official, (SELECT unnest([1, 2, 3]) AS i) WHERE i > 1 OR CAST(floor(epoch(week_start) / 604800) AS BIGINT) % 4 <> 0),
+placed AS (SELECT week_start, snapshot_at, row_number() OVER (PARTITION BY week_start ORDER BY snapshot_at DESC) AS p FROM (SELECT DISTINCT week_start, snapshot_at FROM snaps)),
+latest AS (SELECT entity_id, week_start, max(value) FILTER (p = 1) AS v1, max(value) FILTER (p = 2) AS v2, max(value) FILTER (p = 3) AS v3, (SELECT max(p) FROM placed q WHERE q.week_start = s.week_start) AS n FROM snaps s JOIN placed USING (week_start, snapshot_at) GROUP BY ALL),
+began AS (SELECT entity_id, min(b.created_at) AS began FROM rank_entry JOIN battle b USING (battle_id) WHERE b.ended_at IS NULL AND side IN (1, 2) GROUP BY 1),
+posted AS (
+  SELECT l.entity_id, l.week_start, v1 AS official, straddle, coalesce(derived, 0) AS derived, coalesce(active, 0) AS active, v1 - coalesce(derived, 0) - coalesce(active, 0) AS post
+  FROM latest l JOIN straddle USING (entity_id, week_start) LEFT JOIN derived USING (entity_id, week_start) LEFT JOIN active USING (entity_id, week_start) LEFT JOIN began USING (entity_id)
+  WHERE (n >= 3 AND v1 = v2 AND v2 = v3 OR n = 2 AND v1 = v2 OR n = 1) AND (began IS NULL OR began >= l.week_start)
+    AND NOT EXISTS (SELECT 1 FROM fixed c WHERE c.user_id = l.entity_id AND c.week_start IN (l.week_start, l.week_start - INTERVAL 7 DAY))),
+candidates AS (SELECT * FROM posted WHERE post > 0 AND post <= straddle)
+"""
+
+
+def _reconciled(spark: SparkSession, d: str) -> DataFrame:
+    entries, rounds, battles = t.rank_entry(spark, d), t.rounds(spark, d), t.battle(spark, d)
+    some = corrections(spark, d).where("user_id % 6 = 1")
+    key = ["entity_id", "week_start"]
+    derived = w.weekly_damage(entries, rounds, some).withColumnRenamed("user_id", "entity_id")
+    both = w.straddlers(entries, rounds).join(derived, key, "left").join(w.active_damage(entries, battles), key, "left")
+    part = F.when(F.col("entity_id") % 5 == 0, 0).when(F.col("entity_id") % 5 == 1, F.col("straddle") + 1).otherwise(F.floor((F.col("straddle") + 1) / 2))
+    value = (F.coalesce("damage", F.lit(0)) + F.coalesce("active", F.lit(0)) + part).cast("bigint")
+    weeks = F.floor(F.unix_seconds(F.col("week_start").cast("timestamp")) / 604800)
+    rows = both.select(*key, value.alias("value"), F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("i")).where((F.col("i") > 1) | (weeks % 4 != 0))
+    moved = F.expr("entity_id % 9 = 2 AND i = 2 OR entity_id % 9 = 4 AND i = 1").cast("bigint")
+    snaps = rows.select("week_start", (F.col("week_start") + F.make_dt_interval("i")).alias("snapshot_at"), "entity_id", (F.col("value") - moved).alias("value"))
+    return w.reconciled(entries, rounds, battles, written(snaps, "official-snapshots"), some)
+
+
+@query("rounds rank_entry battle", RECONCILED + "SELECT * FROM candidates")
 def reconcile_candidates(spark: SparkSession, d: str) -> DataFrame:
-    rows = w.last_instants(t.week_snapshot(spark, d)).where(F.col("week_start") == F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
-    part = lambda name, x: rows.select("entity_id", x.cast("bigint").alias(name))
-    return w.candidates(rows, part("straddle", F.floor(F.col("value_1") / 2)), part("derived", F.col("value_1") - F.col("entity_id") % 40), part("active", F.col("entity_id") % 7), rows.where("entity_id % 11 = 0").select("entity_id"))
+    """All weeks at once."""
+    return _reconciled(spark, d)
+
+
+NOW = "1999-06-01 00:00:00"
+
+
+@query("rounds rank_entry battle account", RECONCILED + f""", due AS (
+  SELECT c.*, checked_at FROM candidates c JOIN account a ON a.account_id = c.entity_id
+  WHERE (last_active_at IS NULL OR last_active_at <= TIMESTAMP '{NOW}' - INTERVAL 2 HOUR) AND (checked_at IS NULL OR checked_at <= TIMESTAMP '{NOW}' - INTERVAL 30 MINUTE))
+SELECT entity_id, week_start, post FROM due ORDER BY checked_at NULLS FIRST, entity_id, week_start LIMIT 100""")
+def reconcile_due(spark: SparkSession, d: str) -> DataFrame:
+    """The candidates that may be corrected now: quiet for two hours and not looked at within half an hour, 100 at most."""
+    a = t.account(spark, d).select(F.col("account_id").alias("entity_id"), F.col("last_active_at").alias("last_connected"), F.col("checked_at").alias("last_checked"))
+    due = w.due_for_recheck(_reconciled(spark, d).join(a, "entity_id"), F.lit(NOW).cast("timestamp_ntz"), tie=("entity_id", "week_start"))
+    return due.select("entity_id", "week_start", "post")

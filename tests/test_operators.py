@@ -224,6 +224,63 @@ def test_audit_of_empty_source(spark):
     assert {r["code"]: (r["source_n"], r["stored_n"], r["missing"], r["store_only"], r["coverage"]) for r in got} == {"a": (2, 1, 1, 0, 50.0), "b": (0, 1, 0, 1, 100.0)}
 
 
+def test_audit_by_digests(spark):
+    rng = random.Random(2)
+    left = [(rng.choice(["a", "b", None]), str(rng.randrange(400)) if rng.random() < 0.99 else None) for _ in range(600)]
+    right = list({x for x in left if rng.random() < 0.9} | {("a", f"x{i}") for i in range(5)} | {("c", "1")})
+    schema = "code string, id string"
+    for bucket in (None, F.length("id"), F.lit(1)):
+        got = coverage.audit(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "code", "id", bucket)
+        for code in "abc":
+            s, h = ({i for c, i in side if c == code and i is not None} for side in (left, right))
+            r = got.where(F.col("code") == code).first()
+            nulls = [int(any(x == (code, None) for x in side)) for side in (left, right)]
+            assert (r["source_n"], r["stored_n"], r["missing"], r["store_only"]) == (len(s) + nulls[0], len(h) + nulls[1], len(s - h) + nulls[0], len(h - s) + nulls[1])
+    plan = coverage.audit(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "code", "id")
+    assert "LeftSemi" in plan._jdf.queryExecution().executedPlan().toString()  # ids of open buckets alone go on to the comparison
+
+
+def test_spans_by_pieces(spark):
+    """One hot stream in many pieces, and others, null among them."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "hot", "b", None]), a := rng.randrange(3000), a + rng.randrange(-2, 12)) for _ in range(700)] + [("hot", 10, 900), ("late", 5, 5)]
+    done = [(rng.choice(["hot", "b", None]), a := rng.randrange(3000), a + rng.randrange(0, 30)) for _ in range(60)]
+    frame = lambda r: spark.createDataFrame(r, "stream string, from_us long, to_us long")
+    points = lambda r: {(s, x) for s, a, b in r for x in range(a, b)}
+    got = [tuple(r) for r in coverage.union_spans(frame(rows), piece=40).select("stream", "from_us", "to_us").collect()]
+    assert points(got) == points(rows) and len(got) == len({(s, x) for s, x in points(rows) if (s, x - 1) not in points(rows)})
+    rest = [tuple(r) for r in coverage.subtract_spans(frame(rows), frame(done), piece=40).select("stream", "from_us", "to_us").collect()]
+    want = points(rows) - points(done)
+    assert points(rest) == want and len(rest) == len({(s, x) for s, x in want if (s, x - 1) not in want})
+    assert coverage.union_spans(frame([])).count() == 0 and coverage.subtract_spans(frame([]), frame(done)).count() == 0
+
+
+def test_carried_sums_minima_and_maxima(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), i, rng.choice([None, 1, 5, -3])) for i in range(200)]
+    held = browse.in_pieces(spark.createDataFrame(rows, "k string, i int, v long"), ["k", "i"], piece=15)
+    for upto in (-1, 0):
+        got = browse.carried(held, ["k"], {"s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v")}, upto).collect()
+        for r in got:
+            before = [v for k, i, v in rows if k == r["k"] and i < r["i"] + upto + 1 and v is not None]
+            assert (r["s"], r["lo"], r["hi"]) == ((sum(before), min(before), max(before)) if before else (None, None, None))
+        assert len(got) == len(rows)
+
+
+def test_files_of_a_busy_segment_are_alike(spark, tmp_path):
+    path = f"file://{tmp_path}/tx"
+    rows = [(T0 + dt.timedelta(seconds=i), "t" if i % 10 else "u", "c", f"{i}") for i in range(5000)] + [(T0 + dt.timedelta(days=1), "t", "c", "x"), (None, "t", "c", "y")]
+    df = spark.createDataFrame(rows, "created_at timestamp_ntz, tx_type string, item_code string, tx_id string")
+    layout.write(df, path, "transactions", rows_a_file=700, piece=300)
+    table = spark.read.parquet(path).withColumn("f", F.col("_metadata.file_path"))
+    sizes = {}
+    for r in table.groupBy("day", "f").agg(F.count("*").alias("n"), F.min("tx_type").alias("a"), F.max("tx_type").alias("b")).collect():
+        sizes.setdefault(str(r["day"]), []).append(r["n"])
+    assert sorted(len(x) for x in sizes.values()) == [1, 1, 8] and table.count() == len(rows)
+    assert all(max(x) <= min(x) + 1 for x in sizes.values())
+    layout.write(df.limit(0), f"{path}-none", "transactions")
+
+
 def test_usage_fold_adds_late_rows_and_repeats_nothing(spark):
     at = lambda day, hour=0: T0 + dt.timedelta(days=day, hours=hour)
     schema = "endpoint string, date_used timestamp_ntz, request_id long, arrival int"
