@@ -2,8 +2,9 @@
 
 The field's nodes are the candidates of a document: tokens that hold a digit or an at sign (all other
 tokens are observed as ``none`` and cut the chain). Its factors are token features, neighbouring
-candidates (chain) and distant candidates that repeat one another, share a skeleton or one half of it (skip chain: each
-occurrence is tied to the next one, so their number is linear). Weights are learned from the spans of the
+candidates (chain) and distant candidates that repeat one another, share a skeleton or one half of it (skip chain: what they
+share is a node of its own, tied to each occurrence, so the ties are linear in number and neither distance nor number of the
+repeats weakens them). Where a pattern found a span, its keys are known to be of that kind. Weights are learned from the spans of the
 patterns by pseudo-likelihood on a bounded sample; sum-product messages are passed over the loopy graph
 of each document, all documents of a batch at once. A candidate without a pattern's span gets one
 if its marginal is high and a candidate tied to it, directly or over others, has one of that kind.
@@ -108,7 +109,7 @@ class Graph:
     doc: np.ndarray
 
 
-FEATURES = ("one", "at", "at word", "plus", "dots", "hyphens", "spaces", "parens", "letters", "digits<7", "digits 7-8", "digits 9-11", "digits 12-15", "digits 16", "digits 17+", "groups=1", "groups=4", "groups other", "part>255", "domain tail", "lonely", "in word")
+FEATURES = ("one", "at", "at word", "plus", "dots", "hyphens", "spaces", "parens", "letters", "digits<7", "digits 7-8", "digits 9-11", "digits 12-15", "digits 16", "digits 17+", "groups=1", "groups=4", "groups other", "part>255", "domain tail", "lonely", "in word", "four bytes", "key")
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
@@ -162,7 +163,7 @@ def features(text: str, a: int, b: int) -> list[float]:
         1, at, word, plain and s[0] == "+", plain and s.count(".") == 3, plain and "-" in s, plain and " " in s, plain and "(" in s, not plain,
         plain and n < 7, plain and 7 <= n < 9, plain and 9 <= n < 12, plain and 12 <= n < 16, plain and n == 16, plain and n > 16,
         plain and len(groups) == 1, plain and len(groups) == 4, plain and len(groups) not in (1, 4), plain and any(len(g) > 3 or int(g) > 255 for g in groups), bool(re.search(r"\.[A-Za-z]{2,}\W*$", s)), plain and n == 1,
-        plain and (text[a - 1 : a].isalpha() or text[b : b + 1].isalpha()),
+        plain and (text[a - 1 : a].isalpha() or text[b : b + 1].isalpha()), plain and len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups), 0,
     ]
 
 
@@ -176,29 +177,38 @@ def skeleton(s: str) -> str:
 
 
 def ties(s: str) -> list[str]:
-    """What candidates that repeat one another have in common: the skeleton, and of numbers of nine digits or more each half of it, so
-    that one changed digit keeps the tie."""
+    """What candidates that repeat one another have in common: the skeleton, of numbers of nine digits or more also each half of it, so
+    that one changed digit keeps the tie; of four numbers up to 255 these, whatever joins them."""
     key = skeleton(s)
+    groups = re.findall(r"[0-9]+", s) if "@" not in key else []
+    four = [".".join(g.lstrip("0") or "0" for g in groups)] if len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups) else []
     if len(key) < 7:
-        return []
+        return four
     half = len(key) // 2
-    return [key, f"{len(key)}<{key[:half]}", f"{len(key)}>{key[half:]}"] if len(key) >= 9 and key.isdigit() else [key]
+    return four + ([key, f"{len(key)}<{key[:half]}", f"{len(key)}>{key[half:]}"] if len(key) >= 9 and key.isdigit() else [key])
 
 
 def graph(texts: list[str | None], bases: list[list[Span]]) -> Graph:
     spans, labels, rows, edges, skip, doc = [], [], [], [], [], []
+    of_key = [0.0] * (len(FEATURES) - 1) + [1.0]
     for d, (text, base) in enumerate(zip(texts, bases, strict=True)):
         own: list[tuple[int, int]] = []
         if text and ("@" in text or _DIGIT.search(text) or "(at)" in text.lower() or "[at]" in text.lower()):
-            last: dict[str, int] = {}
-            first = len(labels)
+            shared: dict[str, list[int]] = {}
+            first, at = len(labels), 0
+            order = sorted(base, key=lambda s: (s[1], s[2]))
             for a, b in candidates(text):
-                while b > a and text[b - 1] in ".,;:!?)'\"#$%&*" :
+                while b > a and text[b - 1] in ".,;:!?)'\"#$%&*":
                     b -= 1
                 if b <= a:
                     continue
                 node = len(labels)
-                kind = next((LABELS.index(k) for k, x, y in base if x < b and a < y and (min(y, b) - max(x, a)) * 2 > b - a), 0)
+                while at < len(order) and order[at][2] <= a:
+                    at += 1
+                kind, k = 0, at
+                while not kind and k < len(order) and order[k][1] < b:
+                    kind = LABELS.index(order[k][0]) if a < order[k][2] and (min(order[k][2], b) - max(order[k][1], a)) * 2 > b - a else 0
+                    k += 1
                 own.append((a, b))
                 labels.append(kind)
                 rows.append(features(text, a, b))
@@ -206,13 +216,15 @@ def graph(texts: list[str | None], bases: list[list[Span]]) -> Graph:
                 if node > first and a - own[-2][1] <= 40:
                     edges.append((node - 1, node))
                     skip.append(False)
-                own_ties = set()
                 for key in ties(text[a:b]):
-                    if key in last and last[key] not in own_ties:
-                        own_ties.add(last[key])
-                        edges.append((last[key], node))
-                        skip.append(True)
-                    last[key] = node
+                    shared.setdefault(key, []).append(node)
+            for nodes in shared.values():
+                if len(nodes) > 1:
+                    edges += [(node, len(labels)) for node in nodes]
+                    skip += [True] * len(nodes)
+                    labels.append(next((labels[node] for node in nodes if labels[node]), 0))
+                    rows.append(of_key)
+                    doc.append(d)
         spans.append(own)
     return Graph(spans, np.array(labels, int), np.array(rows, float).reshape(-1, len(FEATURES)), np.array(edges, int).reshape(-1, 2), np.array(skip, bool), np.array(doc, int))
 
@@ -224,8 +236,8 @@ class Weights:
     skip: float  # for equal labels
 
 
-def learn(g: Graph, steps: int = 600, rate: float = 2.0, ridge: float = 1e-3) -> Weights:
-    """Pseudo-likelihood: each label given its neighbours' labels, by gradient ascent from zero."""
+def learn(g: Graph, steps: int = 3000, rate: float = 1.0, ridge: float = 1e-5, momentum: float = 0.9) -> Weights:
+    """Pseudo-likelihood: each label given its neighbours' labels, by gradient ascent with momentum from zero."""
     k, n = len(LABELS), len(g.labels)
     w = Weights(np.zeros((len(FEATURES), k)), np.zeros((k, k)), 0.0)
     if not n:
@@ -233,49 +245,83 @@ def learn(g: Graph, steps: int = 600, rate: float = 2.0, ridge: float = 1e-3) ->
     one = np.eye(k)[g.labels]
     left, right = g.edges[~g.skip].T.reshape(2, -1)
     a, b = g.edges[g.skip].T.reshape(2, -1)
-    before, after, twin = np.zeros((n, k)), np.zeros((n, k)), np.zeros((n, k))
-    np.add.at(before, right, one[left])
-    np.add.at(after, left, one[right])
-    np.add.at(twin, a, one[b])
-    np.add.at(twin, b, one[a])
+    before, after = _summed(right, one[left], n), _summed(left, one[right], n)
+    twin = _summed(np.concatenate([a, b]), one[np.concatenate([b, a])], n)
+    many = np.maximum(1, twin.sum(1, keepdims=True))  # a key with very many ties must not set the pace of the one weight that all ties share
+    step = Weights(np.zeros_like(w.unary), np.zeros_like(w.chain), 0.0)
     for _ in range(steps):
         score = g.features @ w.unary + before @ w.chain + after @ w.chain.T + w.skip * twin
         p = np.exp(score - score.max(1, keepdims=True))
         gap = one - p / p.sum(1, keepdims=True)
-        w.unary += rate * (g.features.T @ gap / n - ridge * w.unary)
-        w.chain += rate * ((before.T @ gap + (after.T @ gap).T) / n - ridge * w.chain)
-        w.skip += rate * ((gap * twin).sum() / n - ridge * w.skip)
+        step.unary = momentum * step.unary + rate * (g.features.T @ gap / n - ridge * w.unary)
+        step.chain = momentum * step.chain + rate * ((before.T @ gap + (after.T @ gap).T) / n - ridge * w.chain)
+        step.skip = momentum * step.skip + rate * ((gap * twin / many).sum() / n - ridge * w.skip)
+        w = Weights(w.unary + step.unary, w.chain + step.chain, w.skip + step.skip)
     return w
 
 
-def marginals(g: Graph, w: Weights, rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-    """Sum-product on the loopy graph; labels that a pattern gave are evidence."""
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Rows summed by the node that each is for."""
+    return np.stack([np.bincount(at, rows[:, i], n) for i in range(rows.shape[1])], 1)
+
+
+def marginals(g: Graph, w: Weights, rounds: int = 200, damping: float = 0.3, still: float = 1e-7) -> np.ndarray:
+    """Sum-product on the loopy graph; labels that a pattern gave, and those of their keys, are evidence. Until no message moves by ``still``, or for
+    ``rounds``, as messages may circle on a graph with loops."""
     k, n = len(LABELS), len(g.labels)
     if not n:
         return np.zeros((0, k))
-    own = g.features @ w.unary
-    known = g.labels > 0
-    own[known] = np.where(np.eye(k)[g.labels[known]] > 0, 0.0, -30.0)
+    own, known = g.features @ w.unary, g.labels > 0
     if len(g.edges):
-        tie = np.where(g.skip[:, None, None], w.skip * np.eye(k), w.chain)
-        tie = np.concatenate([tie, tie.transpose(0, 2, 1)])  # both directions
-        source, target = np.concatenate([g.edges, g.edges[:, ::-1]]).T
-        back = np.roll(np.arange(len(source)), len(g.edges))
+        # What evidence says to a neighbour is fixed, so its edges are factors of that neighbour alone.
+        a, b = g.edges.T
+        for to, of, chain in ((b, a, w.chain), (a, b, w.chain.T)):
+            said = known[of]
+            own = own + _summed(to[said], np.where(g.skip[said, None], w.skip * np.eye(k)[g.labels[of[said]]], chain[g.labels[of[said]]]), n)
+        free = ~known[a] & ~known[b]
+        edges, skip = g.edges[free], np.tile(g.skip[free], 2)
+        source, target = np.concatenate([edges, edges[:, ::-1]]).T
+        back = np.roll(np.arange(len(source)), len(edges))
+        m = int((~g.skip[free]).sum())
+        chain = np.exp(np.concatenate([np.repeat(w.chain[None], m, 0), np.repeat(w.chain.T[None], m, 0)]))
         message = np.zeros((len(source), k))
-        for _ in range(rounds):
-            belief = own.copy()
-            np.add.at(belief, target, message)
-            sent = (belief[source] - message[back])[:, :, None] + tie
-            top = sent.max(1)
-            sent = top + np.log(np.exp(sent - top[:, None]).sum(1))
-            sent -= sent.max(1, keepdims=True)
-            message = damping * message + (1 - damping) * sent
-        own = own.copy()
-        np.add.at(own, target, message)
+        for _ in range(rounds if len(edges) else 0):
+            sent = (own + _summed(target, message, n))[source] - message[back]
+            e = np.exp(sent - sent.max(1, keepdims=True))
+            out = np.empty_like(e)
+            out[skip] = np.log(e[skip].sum(1, keepdims=True) + np.expm1(w.skip) * e[skip])  # the same label weighs more, all others alike
+            out[~skip] = np.log((e[~skip][:, :, None] * chain).sum(1))
+            new = damping * message + (1 - damping) * (out - out.max(1, keepdims=True))
+            moved = np.abs(new - message).max()
+            message = new
+            if moved < still:
+                break
+        own = own + _summed(target, message, n)
+    own[known] = np.where(np.eye(k)[g.labels[known]] > 0, 0.0, -np.inf)
     p = np.exp(own - own.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
+def tied_kinds(g: Graph) -> np.ndarray:
+    """Of each node the kinds that the patterns gave to what is tied to it, directly or over others, as bits."""
+    root = list(range(len(g.labels)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in g.edges[g.skip].tolist():
+        x, y = top(a), top(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+    tops = np.array([top(i) for i in range(len(root))], int)
+    bits = np.zeros(len(root), int)
+    np.bitwise_or.at(bits, tops, np.where(g.labels > 0, 1 << g.labels, 0))
+    return bits[tops]
+
+
 def added_spans(texts: list[str | None], bases: list[list[Span]], w: Weights, least: float = 0.9) -> list[list[Span]]:
     """Per document, the spans that the field adds: sure candidates tied to a pattern's span of the same kind."""
     g = graph(texts, bases)
@@ -284,21 +330,17 @@ def added_spans(texts: list[str | None], bases: list[list[Span]], w: Weights, le
         return out
     p = marginals(g, w)
     kind = p.argmax(1)
-    tied = g.labels.copy()
-    ties = g.edges[g.skip]
-    while True:  # kinds spread along the ties
-        grown = tied.copy()
-        for a, b in (ties.T, ties.T[::-1]):
-            fresh = (grown[b] == 0) & (grown[a] > 0)
-            grown[b[fresh]] = grown[a[fresh]]
-        if (grown == tied).all():
-            break
-        tied = grown
+    tied = (tied_kinds(g) >> kind) & 1
     first = np.searchsorted(g.doc, np.arange(len(texts)))
-    for i in np.flatnonzero((g.labels == 0) & (kind > 0) & (kind == tied) & (p.max(1) >= least)):
+    starts = [np.array([a for _, a, _ in base]) for base in bases]
+    longest = [max((b - a for _, a, b in base), default=0) for base in bases]
+    for i in np.flatnonzero((g.labels == 0) & (kind > 0) & (tied > 0) & (p.max(1) >= least)):
         d = g.doc[i]
+        if i - first[d] >= len(g.spans[d]):  # a key
+            continue
         a, b = g.spans[d][i - first[d]]
-        if not any(x < b and a < y for _, x, y in bases[d]):
+        near = range(*np.searchsorted(starts[d], [a - longest[d], b]))
+        if not any(bases[d][k][1] < b and a < bases[d][k][2] for k in near):
             out[d].append((LABELS[kind[i]], a, b))
     return out
 
@@ -317,13 +359,19 @@ def altered(kind: str, s: str, n: int) -> str:
     return ("-", ".", " ", "")[n % 4].join(cut if kind == "card" or len(cut) < 3 else [*cut[:2], "".join(cut[2:])])
 
 
-def repeated(text: str) -> tuple[str, list[Span]]:
-    """The text with its spans said again in another way behind it, and where: what teaches the field how much a tie tells."""
+#: What stands between a span and its repeats, near and far. Without digits and at signs.
+_BETWEEN = ("\nor rather ", " or ", ", that is, ", "\nand then there are some more words that say nothing of it, as in any letter, ", ". Much later, when all of this had long been said and done, it was written as ")
+
+
+def repeated(text: str, most: int = 10) -> tuple[str, list[Span]]:
+    """The text with its spans said again in other ways behind it, none to ``most`` times, near one another and far, and where: what teaches the field how
+    much a tie tells."""
     more: list[Span] = []
     for n, (kind, a, b) in enumerate(base_spans(text)):
-        piece = altered(kind, text[a:b], n + a)
-        more.append((kind, len(text) + 11, len(text) + 11 + len(piece)))
-        text = f"{text}\nor rather {piece}"
+        for k in range((a + 3 * n) % (most + 1)):
+            piece, between = altered(kind, text[a:b], n + a + k), _BETWEEN[(a + n + k) % len(_BETWEEN)]
+            more.append((kind, len(text) + len(between), len(text) + len(between) + len(piece)))
+            text = f"{text}{between}{piece}"
     return text, more
 
 
@@ -347,7 +395,7 @@ def fit(docs: DataFrame, buckets: int = 1024, piece: int = 20_000) -> Weights:
     def shrink(stream):
         for batch in common.batches(stream):
             texts, forced = zip(*[repeated(t) for t in batch.column(1).to_pylist()], strict=True)
-            g = graph(list(texts), [base_spans(t) + more for t, more in zip(texts, forced, strict=True)])
+            g = graph(list(texts), [more + base_spans(t) for t, more in zip(texts, forced, strict=True)])  # a repeat is what it repeats, whatever else it passes for
             for d in range(len(texts)):
                 pick = g.doc == d
                 inner = pick[g.edges[:, 0]] if len(g.edges) else np.zeros(0, bool)

@@ -155,6 +155,59 @@ def test_altered_repeats_are_found(spark):
     assert tried > 100 and hit >= 0.95 * tried and wrong <= 0.01 * tried
 
 
+@pytest.mark.parametrize("times", [1, 2, 5, 30])
+@pytest.mark.parametrize("words", [1, 5, 500])
+def test_number_and_distance_of_repeats_do_not_matter(spark, times, words):
+    weights = pii.fit(docs_of(spark, "/root/testdata/sf0.01"))
+    values = {k: set() for k in pii.KINDS}
+    for r in docs_of(spark, "/root/testdata/sf0.01").select("text").collect():
+        for kind, a, b in pii.base_spans(r["text"]):
+            values[kind].add(r["text"][a:b])
+    rng = random.Random(times)
+    for kind, found in values.items():
+        tried = hit = wrong = 0
+        for value in sorted(found)[:15]:
+            text, want = f"Write: {value}", []
+            for n in range(times):
+                text += " " + " ".join(rng.choice(["the", "of", "haben", "entre"]) for _ in range(words)) + " "
+                piece = pii.altered(kind, value, n)
+                want.append((len(text), len(text) + len(piece)))
+                text += piece
+            text += " in chapter 12 of 2024"
+            base = pii.base_spans(text)
+            more = pii.added_spans([text], [base], weights)[0]
+            want = [(a, b) for a, b in want if not any(x < b and a < y for _, x, y in base)]
+            tried += len(want)
+            hit += sum(any(k == kind and x <= a + 1 and y >= b - 1 for k, x, y in more) for a, b in want)
+            wrong += sum(k != kind or not any(a < y and x < b for a, b in want) for k, x, y in more)
+        assert hit >= 0.95 * tried and wrong <= 0.01 * tried, kind
+
+
+def test_very_many_repeats(spark, sf_dir):
+    weights = pii.fit(docs_of(spark, sf_dir))
+    text = "Call +1 (152) 555-8590" + "".join(" or " + pii.altered("phone", "+1 (152) 555-8590", n) for n in range(64_000))
+    began = time.perf_counter()
+    assert len(pii.all_spans([text], weights)[0]) == 64_001
+    assert time.perf_counter() - began < 20
+
+
+def test_messages_on_small_graphs_with_loops():
+    """Near the exact marginals where the couplings are weak, evidence and a key among them."""
+    rng = np.random.default_rng(2)
+    k = len(pii.LABELS)
+    for _ in range(5):
+        weights = pii.Weights(rng.normal(size=(len(pii.FEATURES), k)), rng.normal(size=(k, k)) * 0.3, 0.4)
+        graph = pii.Graph([], np.array([0, 3, 0, 0, 0]), rng.random((5, len(pii.FEATURES))), np.array([[0, 1], [1, 2], [0, 4], [2, 4], [3, 4], [2, 3]]), np.array([False, False, True, True, True, False]), np.zeros(5, int))
+        own, exact = graph.features @ weights.unary, np.zeros((5, k))
+        for x in np.ndindex(*[k] * 5):
+            if x[1] == 3:
+                w = math.exp(sum(own[i, x[i]] for i in range(5)) + sum(weights.skip * (x[a] == x[b]) if s else weights.chain[x[a], x[b]] for (a, b), s in zip(graph.edges, graph.skip, strict=True)))
+                for i in range(5):
+                    exact[i, x[i]] += w
+        exact /= exact.sum(1, keepdims=True)
+        assert np.abs(pii.marginals(graph, weights) - exact).max() < 0.02
+
+
 @pytest.mark.parametrize("text", ["1 " + "a" * 500_000, "@" * 300_000, "a" * 500_000 + "@b", "[at]" * 100_000, "x [at] y " * 20_000, "1 " * 100_000, "+1" * 50_000])
 def test_candidates_take_linear_time(text):
     began = time.perf_counter()
