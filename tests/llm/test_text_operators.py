@@ -341,6 +341,27 @@ def test_templates_against_brute_force(spark, make):
     assert len(sure) > 40 and sure <= got <= set(want)
 
 
+@pytest.mark.parametrize("length", [22, 60])
+def test_a_shared_instruction_pairs_nothing(spark, make, length):
+    """Items and documents that share an instruction alone are no pairs; items behind it are found, as they are and with new values."""
+    rng = random.Random(length)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    instruction = " ".join(word() for _ in range(length))
+    question = lambda: " ".join(str(rng.randrange(99)) if i % 5 == 2 else word() for i in range(18))
+    items = [(i, f"{instruction} {question()}") for i in range(60)]
+    items += [(100 + i, f"{instruction} pick {word()}") for i in range(3)]  # hardly a word of their own
+    docs = [(i, f"{word()} {instruction} {question()}") for i in range(60)]
+    docs += [(200, f"see {items[7][1]} there"), (201, re.sub("[0-9]+", lambda m: str(int(m[0]) + 100), items[8][1])), (202, f"so {items[61][1]} then"), (203, f"so {instruction} pick any")]
+    assert found(make, spark, docs, items) == {(200, 7), (201, 8), (202, 101)}
+
+
+def test_one_template_of_many_items(spark, make):
+    """The least id stands for all."""
+    items = [(i, f"A train leaves at {i} and runs {i + 7} miles in {i + 3} hours so how fast was it going") for i in range(5, 25)]
+    docs = [(1, items[9][1]), (2, "A train leaves at 900 and runs 31 miles in 44 hours so how fast was it going"), (3, "A train leaves at 9 and runs 16 miles")]
+    assert found(make, spark, docs, items) == {(1, 5), (2, 5)}
+
+
 def test_every_planted_item_is_found(spark, sf_dir):
     docs, items = docs_of(spark, sf_dir), common.table(spark, sf_dir, "benchmark")
     texts = [r["text"] for r in items.collect()]
