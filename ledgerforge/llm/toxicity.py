@@ -3,15 +3,16 @@
 Writers hide words by look-alike characters, separators, spacing and repetition. A word is a
 lattice: each character may stand for itself, for a letter that it looks like, for a repetition of the one
 before or for nothing, and a space between short pieces may be an end of a word or nothing. Viterbi decoding under a character
-trigram model of the whole corpus finds the likeliest reading, with all states kept; a word of letters without signs or
-threefold letters is its own reading. The restored words are scored by a logistic model on words and their character n-grams.
+trigram model of the whole corpus finds the likeliest reading, with all states kept; a word of letters of which no two neighbours are alike has no other
+reading than itself, and digits with fewer signs are a number. The restored words are scored by a logistic model on words and their character n-grams.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,15 +28,18 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 OTHER, EDGE = 26, 27
 CLASSES = 28
 #: Look-alikes.
-LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
+LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "#": "h"}
 #: Costs in nats.
-LOOK, DOUBLED, REPEAT, DROP, KEEP_SIGN, CLOSE = 1.0, 3.0, 0.2, 0.7, 9.0, 1.5
-#: Neighbouring words of so many characters at most may be pieces of one.
+LOOK, DOUBLED, REPEAT, DROP, DROP_LOOK, KEEP_SIGN, CLOSE = 1.0, 6.0, 0.2, 0.7, 3.0, 9.0, 1.5
+#: Signs that seldom stand between letters, so they are seldom nothing.
+_LOOKS = frozenset("@$€£")
+#: Two neighbouring words of so many characters at most may be pieces of one.
 PIECE = 3
+#: So may all of a run of words of RUN characters at most, if a sign or a letter that is no word by itself stands alone in it.
+RUN, ALONE = 4, frozenset("aeiouyàéèêáíóúäöü")
 #: Signs that may stand for letters, kept at the ends of a word.
 _SIGNS = frozenset("@$!|+(€£_")
-_TRIPLE = re.compile(r"(.)\1\1")
-_HIDDEN = re.compile(r"(.)\1\1|[^\W\d_][\W\d_]+[^\W\d_]|^[0-9@$!|+(€£]+[^\W\d_]|[^\W\d_][0-9@$€£]+$")
+_DOUBLE = re.compile(r"(.)\1")
 
 
 def classes_of(word: str) -> list[int]:
@@ -118,7 +122,7 @@ def decode(word: str, model: CharModel) -> str:
                 for x in LEET.get(ch, ""):
                     k = ord(x) - 97
                     put((b, k, x), c + LOOK + cost[a, b, k], (x, read))
-                put((a, b, last), c + (REPEAT if repeated else DROP if not ch.isdigit() else KEEP_SIGN), read)
+                put((a, b, last), c + (again if repeated and ch in _LOOKS else REPEAT if repeated else DROP_LOOK if ch in _LOOKS else DROP if not ch.isdigit() else KEEP_SIGN), read)
         states = fresh
     best, read = None, None
     for (a, b, _), (c, found) in states.items():
@@ -153,34 +157,56 @@ def bare(word: str) -> str:
 
 
 def restore(word: str, model: CharModel) -> str:
-    """A word without adornment, in lower case, and decoded where its lattice has more than one way. ``word`` may be two pieces with a space."""
+    """A word without adornment, in lower case and in plain forms of its characters, as decoded. ``word`` may be pieces with spaces between."""
+    if not word.isascii():
+        word = unicodedata.normalize("NFKC", word)
     low = word.lower().rstrip(".,;:?")
-    if low.isalpha() and not _TRIPLE.search(low):  # as almost all words
+    if low.isalpha() and not _DOUBLE.search(low):  # as almost all words
         return low
     if " " in low:
         return decode(low, model)
     low = bare(low)
-    return decode(low, model) if _HIDDEN.search(low) and any(c.isalpha() for c in low) else low
+    if low.isalpha() and not _DOUBLE.search(low):
+        return low
+    signs = sum(c in LEET and not c.isdigit() for c in low)
+    letters = any(c.isalpha() for c in low)
+    # Digits with fewer signs are a number, and two signs hide no word.
+    return decode(low, model) if letters or signs >= max(1, sum(map(str.isdigit, low))) and sum(c in LEET for c in low) > 2 else low
 
 
 def words_of(texts: pa.Array, known) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Codes of the restored words of each text, their texts, and the restored words. ``known`` restores a word.
 
-    Letters that stand alone, three or more in a row, make one more word; so do two short neighbours that read best as one.
+    Letters that stand alone, three or more in a row, make one more word; so do two short neighbours that read best as one, and what reads as one in a run of
+    short words with a stray letter or sign.
     """
     codes, offsets, vocabulary = common.split_words(texts)
     restored = [known(w) for w in vocabulary]
     owner = common.owners(offsets)
-    single = np.array([len(w) == 1 and (w.isalnum() or w in LEET) for w in vocabulary], bool)[codes] if len(codes) else np.zeros(0, bool)
     more_codes, more_owner = [], []
-    if single.any():
-        at = np.flatnonzero(single)
-        runs = np.split(at, np.flatnonzero((np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])) + 1)
-        for run in runs:
-            if len(run) >= 3:
-                more_codes.append(len(restored))
-                more_owner.append(owner[run[0]])
-                restored.append(known("".join(vocabulary[c] for c in codes[run])))
+
+    def runs_of(fits: list[bool]) -> list[np.ndarray]:
+        """Places of neighbouring words of one text that fit."""
+        at = np.flatnonzero(np.array(fits, bool)[codes]) if len(codes) else np.zeros(0, np.int64)
+        return np.split(at, np.flatnonzero((np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])) + 1) if len(at) else []
+
+    for run in runs_of([len(w) == 1 and (w.isalnum() or w in LEET) for w in vocabulary]):
+        if len(run) >= 3:
+            more_codes.append(len(restored))
+            more_owner.append(owner[run[0]])
+            restored.append(known("".join(vocabulary[c] for c in codes[run])))
+    stray = [len(w) == 1 and (w.isalpha() and w.lower() not in ALONE or w in LEET and not w.isdigit()) for w in vocabulary]
+    if any(stray):
+        stray = np.array(stray, bool)
+        for run in runs_of([len(w) <= RUN and all(c.isalpha() or c in LEET for c in w) for w in vocabulary]):
+            if len(run) > 1 and stray[codes[run]].any():
+                pieces = [vocabulary[c] for c in codes[run]]
+                whole = {p.lower() for p in pieces}
+                for w in known(" ".join(pieces)).split():
+                    if w not in whole:
+                        more_codes.append(len(restored))
+                        more_owner.append(owner[run[0]])
+                        restored.append(w)
     short = np.array([len(w) <= PIECE and w[:1].isalpha() and w.isalnum() for w in vocabulary], bool)
     if len(codes) > 1 and short.any():
         first = np.flatnonzero(short[codes[:-1]] & short[codes[1:]] & (owner[:-1] == owner[1:]))
@@ -206,13 +232,19 @@ class Model:
     bias: float
 
 
+def _remembered(f: Callable[[str], object]) -> Callable[[str], object]:
+    """With a memory of words of up to 64 characters, so that it is bounded in bytes."""
+    short = lru_cache(1 << 17)(f)
+    return lambda w: short(w) if len(w) <= 64 else f(w)
+
+
 class Reader:
     """Restores and looks up words with a memory of bounded size; one per Python task."""
 
     def __init__(self, chars: CharModel, features: dict[str, int] | None = None):
-        self.restore = lru_cache(1 << 17)(lambda w: restore(w, chars))
+        self.restore = _remembered(lambda w: restore(w, chars))
         if features is not None:
-            self.hits = lru_cache(1 << 17)(lambda w: tuple(sorted({features[g] for g in grams(w) if g in features})))
+            self.hits = _remembered(lambda w: tuple(sorted({features[g] for g in grams(w) if g in features})))
 
     def features(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (text, feature) pairs."""

@@ -388,6 +388,40 @@ def test_decoding():
     assert "idiot" in words[2]
 
 
+def test_hidden_words_and_ordinary_ones(spark):
+    """Under a model of the corpus."""
+    docs = docs_of(spark, "/root/testdata/sf0.01")
+    model = toxicity.CharModel.of(toxicity.char_counts(docs))
+    for hidden, word in {"fuuck": "fuck", "shiit": "shit", "stuupid": "stupid", "ｉdiot": "idiot", "ｉｄｉｏｔ": "idiot", "2024": "2024", "+15": "+15", "$100": "$100", "been": "been"}.items():
+        assert toxicity.restore(hidden, model) == word
+    assert toxicity.restore("@$$", model).isalpha() and toxicity.restore("$#1t", model).isalpha()  # no sign is left as it is
+    assert "stupid" in toxicity.words_of(pa.array(["a stu pi d word"]), lambda w: toxicity.restore(w, model))[2]
+    words = Counter(w for r in docs.select("text").collect() for w in (r["text"] or "").split())
+    plain = {w: n for w, n in words.items() if w.isalpha()}
+    changed = sum(n for w, n in plain.items() if toxicity.restore(w, model) != w.lower())
+    assert changed <= 0.002 * sum(plain.values())
+
+
+def sigmoid_of(texts, model):
+    """Scores by the words of each text, one at a time."""
+    out = []
+    for text in texts:
+        codes, _, restored = toxicity.words_of(pa.array([text], pa.string()), lambda w: toxicity.restore(w, model.chars))
+        held = {g for c in set(codes.tolist()) for g in toxicity.grams(restored[c])}
+        out.append(1 / (1 + math.exp(-(model.bias + sum(w for g, w in model.weights.items() if g in held)))))
+    return out
+
+
+def test_scores_against_brute_force(spark, make):
+    texts = ["you stupid idiot", "you st*up1d fool", "what a lovely day", "", None, "fu c k this", "s t u p i d", "people say hello 2024"]
+    chars = toxicity.CharModel.of(toxicity.char_counts(make([(i, t) for i, t in enumerate(texts)])))
+    model = toxicity.Model(chars, {"=stupid": 2.5, "=idiot": 2.0, "stupi": 0.5, "lovel": -1.5, "=fuck": 3.0}, -2.0)
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score(make(list(enumerate(texts))), model).collect()}
+    for i, want in enumerate(sigmoid_of(texts, model)):
+        assert got[i][0] == pytest.approx(want, abs=1e-12) and got[i][1] == (want >= 0.5)
+    assert got[0][1] == 1 and got[3][0] == got[4][0] == pytest.approx(1 / (1 + math.exp(2.0)))
+
+
 def readings(word, cost):
     """All readings of a word with their costs, by recursion."""
     out = {}
@@ -409,7 +443,8 @@ def readings(word, cost):
         else:
             for x in toxicity.LEET.get(ch, ""):
                 go(i + 1, b, ord(x) - 97, text + x, c + toxicity.LOOK + cost[a, b, ord(x) - 97])
-            go(i + 1, a, b, text, c + (toxicity.REPEAT if same else toxicity.KEEP_SIGN if ch.isdigit() else toxicity.DROP))
+            again = toxicity.REPEAT if i > 1 and word[i - 2] == ch or ch not in "@$€£" else toxicity.DOUBLED
+            go(i + 1, a, b, text, c + (again if same else toxicity.KEEP_SIGN if ch.isdigit() else toxicity.DROP_LOOK if ch in "@$€£" else toxicity.DROP))
 
     go(0, toxicity.EDGE, toxicity.EDGE, "", 0.0)
     return out
