@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerforge import fixtures as t
 from ledgerforge.functions import shard
 from ledgerforge.operators import browse, coverage as c
-from ledgerforge.plans.registry import query
+from ledgerforge.plans.registry import CRC_TABLE, crc32_sql, query
 
 MINUTES = ", m AS (SELECT date_trunc('minute', created_at) AS minute, count(*) AS n FROM tx_live GROUP BY 1)"
 
@@ -139,16 +139,20 @@ def refresh_pool(spark: SparkSession, d: str) -> DataFrame:
     return due.orderBy(F.desc("absent"), F.desc("xp"), "account_id").limit(150).select("account_id", "absent")
 
 
-@query()
+@query("account", f", c AS (SELECT account_id, {crc32_sql('CAST(account_id AS VARCHAR)')} AS h FROM account, {CRC_TABLE}) SELECT account_id FROM c WHERE h % 5 = 2")
 def shard_filter(spark: SparkSession, d: str) -> DataFrame:
     rows = t.account(spark, d)
     return rows.where(shard(F.col("account_id"), 5, 2)).select("account_id")
 
 
-@query()
+@query("battle", """, r AS (SELECT battle_id, strftime(created_at, '%Y-%m') AS month, md5(battle_id || ':5') AS h FROM battle),
+k AS (SELECT greatest(1, CAST(round_even(120 / count(DISTINCT month), 0) AS BIGINT)) AS k FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY h, battle_id) AS place FROM r)
+SELECT battle_id, month FROM p, k WHERE place <= k ORDER BY h, battle_id LIMIT 120""")
 def stratified_pick(spark: SparkSession, d: str, n: int = 120, seed: int = 5) -> DataFrame:
-    """About n battles, the same number from each month (one at least), by a seeded hash; at most n in all."""
-    rows = t.battle(spark, d).select("battle_id", F.date_format("created_at", "yyyy-MM").alias("month"), F.xxhash64("battle_id", F.lit(seed)).alias("h"))
+    """About n battles, the same number from each month (one at least), by a seeded digest; at most n in all."""
+    digest = F.md5(F.concat_ws(":", "battle_id", F.lit(seed)).cast("binary"))
+    rows = t.battle(spark, d).select("battle_id", F.date_format("created_at", "yyyy-MM").alias("month"), digest.alias("h"))
     months = rows.agg(F.countDistinct("month")).first()[0]
     k = max(1, round(n / max(1, months)))
     return browse.top_per_group(rows, ["month"], [F.asc("h"), F.asc("battle_id")], k).orderBy("h", "battle_id").limit(n).select("battle_id", "month")
