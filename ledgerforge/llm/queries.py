@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerforge.llm import chat, common, decontam, langid, lm, media, mixing, neardup, pii, spelling, toxicity, trie, urlfilter, vectors
+from ledgerforge.plans.registry import CRC_TABLE, crc32_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +24,9 @@ RULES = [
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    model = langid.fit(docs.where(common.id_crc(4) != 2))
+    model = langid.fit(docs.where(common.idcrc32_sql(4) != 2))
     found = langid.identify(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", (common.id_crc(4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+    return found.select("doc_id", (common.idcrc32_sql(4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,14 +57,14 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels").where(common.id_crc(5) != 0))
-    return toxicity.score(docs, model).select("doc_id", (common.id_crc(5) == 0).alias("held_out"), "score", "predicted")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels").where(common.idcrc32_sql(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (common.idcrc32_sql(5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    scored = lm.fit_and_score(docs, common.id_crc(7) != 2)
-    return scored.select("doc_id", (common.id_crc(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scored = lm.fit_and_score(docs, common.idcrc32_sql(7) != 2)
+    return scored.select("doc_id", (common.idcrc32_sql(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,16 +98,6 @@ QUERIES: dict[str, Query] = {
 _HOST = r"coalesce(translate(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 _PATH = r"coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '')"
 
-# DuckDB has no crc32: its table by the rule of the polynomial, then byte by byte.
-_CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table)"
-
-
-def _crc(text: str) -> str:
-    """SQL of the unsigned crc32 of a text's UTF-8 bytes, beside ``_CRC_TABLE``."""
-    code = f"list_transform(range(1, 2 * octet_length(encode({text})), 2), lambda i: CAST('0x' || hex(encode({text}))[i:i + 1] AS BIGINT))"
-    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {code}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"
-
-
 ORACLES: dict[str, str] = {
     "op5_url_filter": f"""
 WITH rules(action, rhost, rpath) AS (VALUES {", ".join(str(r) for r in RULES)}),
@@ -122,7 +113,7 @@ WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(coalesce(role, '')), md5(coalesce(text, ''))) - 1 AS place
   FROM conversations WHERE conv_id IS NOT NULL),
-c AS (SELECT conv_id, {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t), {_CRC_TABLE}),
+c AS (SELECT conv_id, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t), {CRC_TABLE}),
 r AS (
   SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND place < h
   UNION ALL SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place >= h),
@@ -146,7 +137,7 @@ FROM m JOIN s ON s.depth = m.depth AND s.key = m.key LEFT JOIN n u ON u.depth =
 WITH RECURSIVE runs AS (
   SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
 each AS (SELECT id, run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY ALL),
-hashed AS (SELECT run, k, {_crc("(id || ':' || run)")} AS h FROM each, {_CRC_TABLE}),
+hashed AS (SELECT run, k, {crc32_sql("(id || ':' || run)")} AS h FROM each, {CRC_TABLE}),
 typed AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, k FROM hashed),
 words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
 lost AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),

@@ -199,8 +199,10 @@ def words_of(texts: pa.Array, known) -> tuple[np.ndarray, np.ndarray, list[str]]
     if any(stray):
         stray = np.array(stray, bool)
         for run in runs_of([len(w) <= RUN and all(c.isalpha() or c in LEET for c in w) for w in vocabulary]):
+            pieces = [vocabulary[c] for c in codes[run]]
+            own = [k for k, p in enumerate(pieces) if p.lower() not in ALONE]  # words of one letter are pieces only between others
             if len(run) > 1 and stray[codes[run]].any():
-                pieces = [vocabulary[c] for c in codes[run]]
+                pieces = pieces[own[0] : own[-1] + 1]
                 whole = {p.lower() for p in pieces}
                 for w in known(" ".join(pieces)).split():
                     if w not in whole:
