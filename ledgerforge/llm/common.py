@@ -174,7 +174,8 @@ def packed(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that no (doc_id, h) of ``gone`` names, h being the hash of the text. Only rows in question are shuffled."""
+    """The rows of ``docs`` that no (doc_id, h) of ``gone`` names, h being the hash of the text. Only rows in question are shuffled. Null ids
+    and texts match null ones, repeated rows go or stay together, an empty ``gone`` keeps all; columns may have any names."""
     gone = written(gone, "gone")
     every = packed(docs, gone)
     kept = every.where("asked").join(gone, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("h")), "left_anti")

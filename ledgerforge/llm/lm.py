@@ -168,7 +168,8 @@ def fit(docs: DataFrame, entry_bits: float = ENTRY_BITS, piece_bytes: int = PIEC
 
 
 def fit_and_score(docs: DataFrame, learns: Column, entry_bits: float = ENTRY_BITS, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """``score`` of all ``docs`` by the model of those that ``learns`` is true for, with one pass over the texts fewer."""
+    """``score`` of all ``docs`` by the model of those that ``learns`` is true for, with one pass over the texts fewer. Null texts count as empty, repeated rows
+    and null ids are rows like others, an empty table gives no row; without a text to learn from the counts are all 0."""
     model = _counts(docs.where(learns), entry_bits, piece_bytes)
     rows = _probed(docs, model, learns)
     model.seen = _seen(rows.where("learns"))

@@ -129,6 +129,7 @@ def _packer(words: bytes) -> zstandard.ZstdCompressor:
 def media(docs: DataFrame, text: str = "text") -> DataFrame:
     """(media, payload_bytes, tail_crc32, media_bytes, media_sha256, feature) of each distinct payload, read back from the store.
 
+    A null text is an empty payload, equal texts are one, and an empty table gives no row; other columns are ignored.
     ``media`` is the sha256 of the payload as written; that read back is compared with it, and a payload that differs raises.
     Which chunks are listed more than once, a filter of fixed size tells; a chunk that it takes for one of them goes by the
     store too, with the same result.

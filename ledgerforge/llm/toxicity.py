@@ -264,7 +264,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, features: int =
 
     The classifier's rows are a bounded sample: about ``sample`` of ``labels`` (doc_id, toxic), by the hash of their ids, and all of
     them if they are fewer. Its features are the ``features`` words and n-grams that tell the labels apart best, out
-    of those in at least ``least`` toxic rows.
+    of those in at least ``least`` toxic rows. Labels without an id or a label teach nothing, of several labels of one id the greater counts; null and
+    empty texts have no words, repeated rows count as often as they stand; without rows of both labels there are no weights, only the bias. Other columns are ignored.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
