@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerforge.session import shared_dir, written  # noqa: F401
 
 #: Rows and bytes that Spark hands to Python at once; documents can be long, so fewer than Spark's 10000.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 _LOWER = {i: i + 32 for i in range(65, 91)}
 

@@ -185,30 +185,34 @@ def words_of(texts: pa.Array, known) -> tuple[np.ndarray, np.ndarray, list[str]]
     owner = common.owners(offsets)
     more_codes, more_owner = [], []
 
-    def runs_of(fits: list[bool]) -> list[np.ndarray]:
-        """Places of neighbouring words of one text that fit."""
+    def runs_of(fits: list[bool], some: np.ndarray) -> list[np.ndarray]:
+        """Places of neighbouring words of one text that fit, of those runs where ``some`` is true of a word."""
         at = np.flatnonzero(np.array(fits, bool)[codes]) if len(codes) else np.zeros(0, np.int64)
-        return np.split(at, np.flatnonzero((np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])) + 1) if len(at) else []
-
-    for run in runs_of([len(w) == 1 and (w.isalnum() or w in LEET) for w in vocabulary]):
+        if not len(at):
+            return []
+        starts = np.append(0, np.flatnonzero((np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])) + 1)
+        ends = np.append(starts[1:], len(at))
+        asked = np.flatnonzero(np.logical_or.reduceat(some[codes[at]], starts) & (ends - starts > 1))
+        return [at[starts[i] : ends[i]] for i in asked]
+
+    single = [len(w) == 1 and (w.isalnum() or w in LEET) for w in vocabulary]
+    for run in runs_of(single, np.ones(len(vocabulary), bool)):
         if len(run) >= 3:
             more_codes.append(len(restored))
             more_owner.append(owner[run[0]])
             restored.append(known("".join(vocabulary[c] for c in codes[run])))
-    stray = [len(w) == 1 and (w.isalpha() and w.lower() not in ALONE or w in LEET and not w.isdigit()) for w in vocabulary]
-    if any(stray):
-        stray = np.array(stray, bool)
-        for run in runs_of([len(w) <= RUN and all(c.isalpha() or c in LEET for c in w) for w in vocabulary]):
+    stray = np.array([len(w) == 1 and (w.isalpha() and w.lower() not in ALONE or w in LEET and not w.isdigit()) for w in vocabulary], bool)
+    if stray.any():
+        for run in runs_of([len(w) <= RUN and all(c.isalpha() or c in LEET for c in w) for w in vocabulary], stray):
             pieces = [vocabulary[c] for c in codes[run]]
             own = [k for k, p in enumerate(pieces) if p.lower() not in ALONE]  # words of one letter are pieces only between others
-            if len(run) > 1 and stray[codes[run]].any():
-                pieces = pieces[own[0] : own[-1] + 1]
-                whole = {p.lower() for p in pieces}
-                for w in known(" ".join(pieces)).split():
-                    if w not in whole:
-                        more_codes.append(len(restored))
-                        more_owner.append(owner[run[0]])
-                        restored.append(w)
+            pieces = pieces[own[0] : own[-1] + 1]
+            whole = {p.lower() for p in pieces}
+            for w in known(" ".join(pieces)).split():
+                if w not in whole:
+                    more_codes.append(len(restored))
+                    more_owner.append(owner[run[0]])
+                    restored.append(w)
     short = np.array([len(w) <= PIECE and w[:1].isalpha() and w.isalnum() for w in vocabulary], bool)
     if len(codes) > 1 and short.any():
         first = np.flatnonzero(short[codes[:-1]] & short[codes[1:]] & (owner[:-1] == owner[1:]))
