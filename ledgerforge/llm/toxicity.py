@@ -39,7 +39,7 @@ PIECE = 3
 RUN, ALONE = 4, frozenset("aeiouyàéèêáíóúäöü")
 #: Signs that may stand for letters, kept at the ends of a word.
 _SIGNS = frozenset("@$!|+(€£_")
-_DOUBLE = re.compile(r"(.)\1")
+_DOUBLE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 
 
 def classes_of(word: str) -> list[int]:
@@ -135,6 +135,19 @@ def decode(word: str, model: CharModel) -> str:
     return "".join(reversed(out))
 
 
+def undoubled(word: str, model: CharModel) -> str:
+    """As ``decode`` of a word of letters, none of them threefold: whether a doubled letter is one depends on its neighbours alone."""
+    c, cost = [EDGE, *classes_of(word), EDGE], model.cost
+    out = []
+    for i, ch in enumerate(word):
+        if i and word[i - 1] == ch:
+            k = c[i + 1]
+            if cost[c[i - 1], k, k] + cost[k, k, c[i + 2]] - cost[c[i - 1], k, c[i + 2]] > DOUBLED:
+                continue
+        out.append(ch)
+    return "".join(out)
+
+
 def bare(word: str) -> str:
     """A word without adornment: signs three times over or more at its end, signs that stand for no letter at both
     ends, and exclamation marks and their like behind a letter."""
@@ -166,8 +179,8 @@ def restore(word: str, model: CharModel) -> str:
     if " " in low:
         return decode(low, model)
     low = bare(low)
-    if low.isalpha() and not _DOUBLE.search(low):
-        return low
+    if low.isalpha() and not _TRIPLE.search(low):
+        return undoubled(low, model)
     signs = sum(c in LEET and not c.isdigit() for c in low)
     letters = any(c.isalpha() for c in low)
     # Digits with fewer signs are a number, and two signs hide no word.

@@ -388,6 +388,15 @@ def test_decoding():
     assert "idiot" in words[2]
 
 
+def test_doubled_letters_alone_are_decoded_alike():
+    rng = random.Random(8)
+    for _ in range(20):
+        model = toxicity.CharModel.of({rng.randrange(toxicity.CLASSES**3): rng.randrange(1, 5000) for _ in range(2000)})
+        for _ in range(100):
+            word = "".join(c * rng.choice([1, 1, 2]) for c in rng.sample("abcdeé", rng.randrange(1, 6)))
+            assert toxicity.undoubled(word, model) == toxicity.decode(word, model)
+
+
 def test_hidden_words_and_ordinary_ones(spark):
     """Under a model of the corpus."""
     docs = docs_of(spark, "/root/testdata/sf0.01")
