@@ -86,11 +86,13 @@ def bands(streams: DataFrame, minutes: int = 3, most: int = 50) -> DataFrame:
 
 
 def row_slices(rows: DataFrame, stream: str, time: str, size: int) -> DataFrame:
-    """Ends of slices of about ``size`` rows: the time of each (k * size + 1)-th row of a stream, ties whole."""
+    """Ends of slices of about ``size`` rows: the time of each (k * size + 1)-th row of a stream. Rows of one time that hold several such places end
+    as many slices."""
     counts = rows.groupBy(stream, time).agg(F.count("*").alias("n"))
-    placed = summed_before(counts, stream, time, "n").withColumn("seen", F.col("before") + F.col("n"))
-    marks = placed.withColumn("slice", F.floor((F.col("seen") - 1) / size)).withColumn("first", F.floor((F.col("before") - 1) / size))
-    return marks.where("slice > first and slice > 0").groupBy(stream, "slice").agg(F.min(time).alias("slice_end"))
+    placed = summed_before(counts, stream, time, "n")
+    first = F.greatest(F.lit(1), F.expr(f"(before + {size - 1}) div {size}"))  # places k * size from before on
+    marks = placed.withColumn("first", first).withColumn("last", F.expr(f"(before + n - 1) div {size}"))
+    return marks.where("first <= last").select(stream, F.explode(F.sequence("first", "last")).alias("slice"), F.col(time).alias("slice_end"))
 
 
 def watermark(bands: DataFrame, stored: DataFrame) -> DataFrame:

@@ -443,3 +443,13 @@ def test_object_ids_beyond_32_bits(spark, tmp_path):
     same(QUERIES["oid_timestamp"](spark, str(tmp_path)), con, ORACLES["oid_timestamp"])
     text = spark.createDataFrame([("1" + "0" * 24,), ("65a1b2c3-d4e5-f607-1829-3a4b0000",)], "oid string")
     assert [r["s"] for r in text.select(fn.oid_seconds(F.col("oid")).alias("s")).collect()] == [1 << 32, 0x65A1B2C3]
+
+
+@pytest.mark.parametrize("size", [1, 3, 5])
+def test_slices_whose_ends_fall_on_one_time(spark, size):
+    rng = random.Random(size)
+    rows = [(k, T0 + dt.timedelta(hours=h)) for k in "ab" for h in range(9) for _ in range(rng.choice([0, 1, 2, 7, 16]))]
+    got = coverage.row_slices(spark.createDataFrame(rows, "k string, t timestamp_ntz"), "k", "t", size)
+    times = {k: sorted(t for x, t in rows if x == k) for k in "ab"}
+    want = [(k, i // size, t) for k, ts in times.items() for i, t in enumerate(ts) if i and i % size == 0]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
