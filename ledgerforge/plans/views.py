@@ -137,7 +137,8 @@ def battles_without_rounds(spark: SparkSession, d: str) -> DataFrame:
 def unused_endpoints(spark: SparkSession, d: str) -> DataFrame:
     log = t.usage_log(spark, d)
     known = log.select("endpoint").distinct().union(spark.createDataFrame([("archive",), ("export",)], "endpoint string"))
-    return known.join(log.where("endpoint != 'error'").select("endpoint"), "endpoint", "left_anti")
+    used = log.where("endpoint != 'error'").select("endpoint").distinct()  # few, so that no task gets a row for each use
+    return known.join(used, "endpoint", "left_anti")
 
 
 SIDES = "battle_id, round_number, entity_type, entity_id"

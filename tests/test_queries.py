@@ -43,3 +43,10 @@ def test_entry_module(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_uses_are_combined_before_the_join(spark, sf_dir):
+    plan = QUERIES["unused_endpoints"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.split("\n")) if "LeftAnti" in line)
+    right = [line for line in plan.split("\n")[join + 1 :] if line.split("Aggregate")[0].strip(" :") == "+-"]
+    assert any("Aggregate [" in line for line in right), plan
