@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.functions import week
+from ledgerforge.session import written
+
+WEEK = "INTERVAL 7 DAYS"
 
 
 def weekly_damage(entries: DataFrame, rounds: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -45,43 +48,63 @@ def last_instants(snapshots: DataFrame, n: int = 3) -> DataFrame:
 
 
 def straddlers(entries: DataFrame, rounds: DataFrame) -> DataFrame:
-    """(entity_id, week_start, straddle): damage of rounds that began before a reset and ended after it, for each reset that they cross."""
-    reset = F.sequence(week(F.col("created_at")) + F.expr("INTERVAL 7 DAYS"), F.greatest(week(F.col("ended_at")), week(F.col("created_at")) + F.expr("INTERVAL 7 DAYS")), F.expr("INTERVAL 7 DAYS"))
-    crossed = rounds.where("ended_at > created_at").select("battle_id", F.col("number").alias("round_number"), "ended_at", F.explode(reset).alias("week_start")).where("week_start < ended_at").drop("ended_at")
+    """(entity_id, week_start, straddle): damage of rounds that began before a reset and ended after it, for each reset that they cross.
+
+    An entry adds its damage at the first reset and takes it back behind the last, so it makes two rows however many weeks its round runs; sums
+    by entity and week are then added up along each entity's weeks.
+    """
+    first, last = week(F.col("created_at")) + F.expr(WEEK), week(F.col("ended_at") - F.expr("INTERVAL 1 MICROSECOND"))
+    crossed = rounds.where("ended_at > created_at").select("battle_id", F.col("number").alias("round_number"), first.alias("_first"), last.alias("_last")).where("_first <= _last")
     rows = entries.where("side in (1, 2) and damage is not null").select("battle_id", "round_number", "entity_id", "damage")
-    return rows.join(crossed, ["battle_id", "round_number"]).groupBy("entity_id", "week_start").agg(F.sum("damage").alias("straddle"))
+    steps = F.array(
+        F.struct(F.col("_first").alias("week_start"), F.col("damage").alias("damage"), F.lit(1).alias("n")),
+        F.struct((F.col("_last") + F.expr(WEEK)).alias("week_start"), (-F.col("damage")).alias("damage"), F.lit(-1).alias("n")),
+    )
+    steps = rows.join(crossed, ["battle_id", "round_number"]).select("entity_id", F.explode(steps).alias("s"))
+    steps = steps.groupBy("entity_id", "s.week_start").agg(F.sum("s.damage").alias("damage"), F.sum("s.n").alias("n"))
+    weeks = Window.partitionBy("entity_id").orderBy("week_start")  # a row for each week
+    upto = weeks.rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.select("entity_id", "week_start", F.sum("damage").over(upto).alias("straddle"), F.sum("n").over(upto).alias("n"), F.lead("week_start").over(weeks).alias("next"))
+    same = F.sequence("week_start", F.col("next") - F.expr(WEEK), F.expr(WEEK))
+    return runs.where("n > 0").select("entity_id", F.explode(same).alias("week_start"), "straddle")
 
 
 def active_damage(entries: DataFrame, battles: DataFrame) -> DataFrame:
-    """(entity_id, week_start, active): damage in battles that still run, by the week that they began in; of each side the greatest value read."""
-    open_ = battles.where("ended_at is null").select("battle_id", week(F.col("created_at")).alias("week_start"))
-    top = entries.where("side in (1, 2)").join(open_, "battle_id").groupBy("entity_id", "week_start", "battle_id", "side").agg(F.max("damage").alias("m"))
-    return top.groupBy("entity_id", "week_start").agg(F.sum("m").alias("active"))
+    """(entity_id, week_start, active, began): damage in battles that still run, by the week that they began in, and when the first of them began; of
+    each side the greatest value read."""
+    open_ = battles.where("ended_at is null").select("battle_id", week(F.col("created_at")).alias("week_start"), F.col("created_at").alias("_began"))
+    top = entries.where("side in (1, 2)").join(open_, "battle_id").groupBy("entity_id", "week_start", "battle_id", "side").agg(F.max("damage").alias("m"), F.min("_began").alias("_began"))
+    return top.groupBy("entity_id", "week_start").agg(F.sum("m").alias("active"), F.min("_began").alias("began"))
+
 
+def explained(entries: DataFrame, rounds: DataFrame, battles: DataFrame, corrections: DataFrame) -> DataFrame:
+    """(entity_id, week_start, straddle, derived, active, first) of the weeks whose reset a user's rounds cross; ``first``: when the user's oldest battle
+    that still runs began."""
+    key = ["entity_id", "week_start"]
+    derived = weekly_damage(entries, rounds, corrections).select(F.col("user_id").alias("entity_id"), "week_start", F.col("damage").alias("derived"))
+    active = written(active_damage(entries, battles), "active-damage")
+    first = active.groupBy("entity_id").agg(F.min("began").alias("first"))
+    return straddlers(entries, rounds).join(derived, key, "left").join(active.drop("began"), key, "left").join(first, "entity_id", "left").select(*key, "straddle", "derived", "active", "first")
 
-def reconciled(entries: DataFrame, rounds: DataFrame, battles: DataFrame, snapshots: DataFrame, corrections: DataFrame) -> DataFrame:
+
+def reconciled(parts: DataFrame, snapshots: DataFrame, corrections: DataFrame) -> DataFrame:
     """(entity_id, week_start, official, straddle, derived, active, post) of the users and weeks that a correction would explain.
 
     The official total at the week's last snapshot exceeds derived and active damage by ``post``, which is at most what straddled the reset, and
     the snapshots stand still: the last three are equal, or the last two where the week has two, or it has one. Users that are corrected in the week or
-    the one before, and those in a battle that began before the reset and still runs, are left out. ``snapshots``: week_start, snapshot_at, entity_id,
-    value; ``corrections``: user_id, week_start, amount.
+    the one before, and those in a battle that began before the reset and still runs, are left out. ``parts``: as ``explained``; ``snapshots``: week_start,
+    snapshot_at, entity_id, value; ``corrections``: user_id, week_start, amount.
     """
     key = ["entity_id", "week_start"]
     n = snapshots.groupBy("week_start").agg(F.countDistinct("snapshot_at").alias("instants"))  # a row for each week
-    derived = weekly_damage(entries, rounds, corrections).select(F.col("user_id").alias("entity_id"), "week_start", F.col("damage").alias("derived"))
-    rows = last_instants(snapshots).join(F.broadcast(n), "week_start").join(straddlers(entries, rounds), key)
-    rows = rows.join(derived, key, "left").join(active_damage(entries, battles), key, "left")
+    rows = last_instants(snapshots).join(F.broadcast(n), "week_start").join(parts, key)
     v1, v2, v3 = (F.col(f"value_{i}") for i in (1, 2, 3))
     still = v1.isNotNull() & F.when(F.col("instants") >= 3, (v1 == v2) & (v2 == v3)).when(F.col("instants") == 2, v1 == v2).otherwise(True)
     derived, active = F.coalesce("derived", F.lit(0)), F.coalesce("active", F.lit(0))
-    rows = rows.where(still).select(*key, v1.alias("official"), "straddle", derived.alias("derived"), active.alias("active"), (v1 - derived - active).alias("post"))
-    rows = rows.where("post > 0 and post <= straddle")
-    done = corrections.select(F.col("user_id").alias("entity_id"), F.explode(F.array("week_start", F.col("week_start") + F.expr("INTERVAL 7 DAYS"))).alias("week_start"))
-    open_ = battles.where("ended_at is null").select("battle_id", F.col("created_at").alias("_began"))
-    first = entries.where("side in (1, 2)").join(open_, "battle_id").groupBy("entity_id").agg(F.min("_began").alias("_first"))
-    rows = rows.join(done, key, "left_anti").join(first, "entity_id", "left")
-    return rows.where(F.col("_first").isNull() | (F.col("_first") >= F.col("week_start"))).drop("_first")
+    rows = rows.where(still & (F.col("first").isNull() | (F.col("first") >= F.col("week_start"))))
+    rows = rows.select(*key, v1.alias("official"), "straddle", derived.alias("derived"), active.alias("active"), (v1 - derived - active).alias("post")).where("post > 0 and post <= straddle")
+    done = corrections.select(F.col("user_id").alias("entity_id"), F.explode(F.array("week_start", F.col("week_start") + F.expr(WEEK))).alias("week_start"))
+    return rows.join(done, key, "left_anti")
 
 
 def due_for_recheck(rows: DataFrame, now: Column, idle: str = "2 hours", recheck: str = "30 minutes", budget: int = 100, tie: tuple[str, ...] = ("entity_id",)) -> DataFrame:

@@ -152,18 +152,15 @@ candidates AS (SELECT * FROM posted WHERE post > 0 AND post <= straddle)
 
 
 def _reconciled(spark: SparkSession, d: str) -> DataFrame:
-    entries, rounds, battles = t.rank_entry(spark, d), t.rounds(spark, d), t.battle(spark, d)
     some = corrections(spark, d).where("user_id % 6 = 1")
-    key = ["entity_id", "week_start"]
-    derived = w.weekly_damage(entries, rounds, some).withColumnRenamed("user_id", "entity_id")
-    both = w.straddlers(entries, rounds).join(derived, key, "left").join(w.active_damage(entries, battles), key, "left")
+    parts = written(w.explained(t.rank_entry(spark, d), t.rounds(spark, d), t.battle(spark, d), some), "explained-damage")
     part = F.when(F.col("entity_id") % 5 == 0, 0).when(F.col("entity_id") % 5 == 1, F.col("straddle") + 1).otherwise(F.floor((F.col("straddle") + 1) / 2))
-    value = (F.coalesce("damage", F.lit(0)) + F.coalesce("active", F.lit(0)) + part).cast("bigint")
+    value = (F.coalesce("derived", F.lit(0)) + F.coalesce("active", F.lit(0)) + part).cast("bigint")
     weeks = F.floor(F.unix_seconds(F.col("week_start").cast("timestamp")) / 604800)
-    rows = both.select(*key, value.alias("value"), F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("i")).where((F.col("i") > 1) | (weeks % 4 != 0))
+    rows = parts.select("entity_id", "week_start", value.alias("value"), F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("i")).where((F.col("i") > 1) | (weeks % 4 != 0))
     moved = F.expr("entity_id % 9 = 2 AND i = 2 OR entity_id % 9 = 4 AND i = 1").cast("bigint")
     snaps = rows.select("week_start", (F.col("week_start") + F.make_dt_interval("i")).alias("snapshot_at"), "entity_id", (F.col("value") - moved).alias("value"))
-    return w.reconciled(entries, rounds, battles, written(snaps, "official-snapshots"), some)
+    return w.reconciled(parts, snaps, some)
 
 
 @query("rounds rank_entry battle", RECONCILED + "SELECT * FROM candidates")

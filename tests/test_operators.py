@@ -453,3 +453,27 @@ def test_slices_whose_ends_fall_on_one_time(spark, size):
     times = {k: sorted(t for x, t in rows if x == k) for k in "ab"}
     want = [(k, i // size, t) for k, ts in times.items() for i, t in enumerate(ts) if i and i % size == 0]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_long_rounds_make_two_rows_an_entry(spark):
+    """Rounds that cross up to hundreds of resets, against each reset by itself."""
+    rng = random.Random(4)
+    rounds, entries = [], []
+    monday = dt.datetime(2026, 8, 3)
+    for b in range(40):
+        start = rng.choice([monday, T0]) + dt.timedelta(hours=rng.randrange(800))
+        end = rng.choice([start, start + dt.timedelta(hours=1), start + dt.timedelta(days=rng.randrange(3000)), monday + dt.timedelta(days=70), None])
+        rounds.append((b, 1, start, end))
+        entries += [(b, 1, rng.choice([1, 2, 3, None]), rng.choice([1, 2, 3]), rng.choice([0, 5, 8, None])) for _ in range(rng.randrange(4))]
+    got = weekly.straddlers(spark.createDataFrame(entries, "battle_id long, round_number int, entity_id long, side int, damage long"), spark.createDataFrame(rounds, "battle_id long, number int, created_at timestamp_ntz, ended_at timestamp_ntz"))
+    want = {}
+    for b, _, entity, side, damage in entries:
+        _, _, start, end = rounds[b]
+        reset = dt.datetime.combine(start.date() - dt.timedelta(days=start.weekday() - 7), dt.time())
+        while end and side < 3 and damage is not None and reset < end:
+            want[entity, reset] = want.get((entity, reset), 0) + damage
+            reset += dt.timedelta(days=7)
+    assert len(want) > 400 and {(r["entity_id"], r["week_start"]): r["straddle"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert not any("Generate" in line for line in plan[join:])
