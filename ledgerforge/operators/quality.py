@@ -39,6 +39,18 @@ def leftovers(entries: DataFrame, measures: list[str], key: list[str] = KEY) ->
     return total("side = 3", "m").join(total("side < 3", "s"), key).where(same).select(*key)
 
 
+def merged_counts(entries: DataFrame, measures: list[str], key: list[str] = KEY) -> DataFrame:  # noqa: B006
+    """One row: how many keys are ``orphans``, ``duplicates`` and ``leftovers``, how many rows are ``exceptions`` (as in the functions of these names), and
+    ``merged`` rows; by one aggregate over the keys."""
+    merged, side = F.col("side") == 3, F.col("side") < 3
+    sums = [F.sum(F.when(x, F.col(m))).alias(f"{mark}_{m}") for m in measures for mark, x in (("m", merged), ("s", side))]
+    by_key = entries.groupBy(*key).agg(F.count_if(merged).alias("m"), F.count_if(side).alias("s"), *sums).where("m > 0")
+    met = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in key]) & (F.col("s") > 0)  # null keys meet none
+    same = reduce(lambda x, y: x & y, [F.col(f"m_{m}").eqNullSafe(F.col(f"s_{m}")) for m in measures])
+    exceptions = F.coalesce(F.sum(F.when(met, F.col("m"))), F.lit(0))
+    return by_key.agg(F.count_if(~met).alias("orphans"), F.count_if(F.col("m") > 1).alias("duplicates"), F.count_if(met & same).alias("leftovers"), exceptions.alias("exceptions"), F.coalesce(F.sum("m"), F.lit(0)).alias("merged"))
+
+
 def key_violations(rows: DataFrame, key: list[str], parents: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """(check, rows) of the constraints of a table: repeated keys, null keys and, for each column of ``parents``, values without a parent row."""
     absent = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in key])

@@ -164,13 +164,12 @@ MERGED_LEVELS = _level_sql("battle", "bl", BATTLE_KEY) + " UNION ALL " + _level_
 @query("rank_entry", LEVELS + " " + MERGED_LEVELS)
 def merged_report(spark: SparkSession, d: str) -> DataFrame:
     """Orphans, duplicates, leftovers and exceptions of merged rows, by level, with the number of merged rows."""
-    one = F.lit(1).alias("one")  # parts are single rows
     parts = []
     for level, (rows, key) in levels(spark, d).items():
         cents = rows.withColumn("money", F.round(F.col("money") * 100).cast("bigint"))  # sums of whole numbers have one value in any order
-        merged = rows.where("side = 3").agg(F.count("*").alias("pairs"), one)
-        bad = {"merged orphans": q.orphans(rows, key), "merged duplicates": q.duplicates(rows, key), "leftovers": q.leftovers(cents, MEASURES, key), "exceptions kept": q.exceptions(rows, key)}
-        parts += [b.agg(F.count("*").alias("diff"), one).join(merged, "one").select(F.lit(f"{label}, {level}").alias("label"), "diff", "pairs") for label, b in bad.items()]
+        names = {"merged orphans": "orphans", "merged duplicates": "duplicates", "leftovers": "leftovers", "exceptions kept": "exceptions"}
+        each = F.array(*[F.struct(F.lit(f"{label}, {level}").alias("label"), F.col(c).alias("diff")) for label, c in names.items()])
+        parts.append(q.merged_counts(cents, MEASURES, key).select(F.explode(each).alias("p"), F.col("merged").alias("pairs")).select("p.label", "p.diff", "pairs"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -186,15 +185,16 @@ def ranking_quality_report(spark: SparkSession, d: str) -> DataFrame:
     rounds, one = t.rounds(spark, d), F.lit(1).alias("one")  # parts are single rows
     due = rounds.where("attacker_damages + defender_damages > 0").groupBy("battle_id").agg(F.max("number").alias("number"))
     part = lambda label, bad, every: bad.agg(F.count("*").alias("diff"), one).join(every.agg(F.count("*").alias("pairs"), one), "one").select(F.lit(label).alias("label"), "diff", "pairs")
-    ended = t.battle(spark, d).where("ended_at is not null")
-    week = ended.where(F.col("ended_at") > now() - F.expr("INTERVAL 7 DAYS"))
-    proven = battle_verified(spark, d)
+    ended = t.battle(spark, d).where("ended_at is not null").select("battle_id", (F.col("ended_at") > now() - F.expr("INTERVAL 7 DAYS")).alias("late"))
+    state = ended.join(battle_verified(spark, d).select("battle_id", F.lit(True).alias("proven")).distinct(), "battle_id", "left")
+    of = {"unverified": F.lit(True), "unverified, last week": F.col("late")}
+    counts = [F.struct(F.lit(label).alias("label"), F.count_if(x & F.col("proven").isNull()).alias("diff"), F.count_if(x).alias("pairs")) for label, x in of.items()]
+    unverified = state.agg(F.array(*counts).alias("p")).select(F.inline("p"))
     parts = [
         chk_rounds_eq_battle(spark, d),
         merged_report(spark, d),
         part("last round", chk_last_round(spark, d), due),
-        part("unverified", ended.join(proven, "battle_id", "left_anti"), ended),
-        part("unverified, last week", week.join(proven, "battle_id", "left_anti"), week),
+        unverified,
     ]
     return reduce(DataFrame.unionByName, parts)
 

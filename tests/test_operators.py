@@ -477,3 +477,16 @@ def test_long_rounds_make_two_rows_an_entry(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
     join = next(i for i, line in enumerate(plan) if "Join" in line)
     assert not any("Generate" in line for line in plan[join:])
+
+
+def test_merged_rows_are_counted_in_one_pass(spark):
+    """Against the functions of each check; null keys, sides and measures; nothing at all."""
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 2, None]), rng.choice([1, 2, 3]), 1, rng.choice([7, 8, None]), rng.choice([1, 2, 3, 3, 3, None]), rng.choice([4, 4, None])) for _ in range(60)]
+    schema = "battle_id long, round_number int, entity_type int, entity_id long, side int, damage long"
+    for some in (rows, rows[:7], []):
+        df = spark.createDataFrame(some, schema)
+        got = quality.merged_counts(df, ["damage"])
+        want = [f.count() for f in (quality.orphans(df), quality.duplicates(df), quality.leftovers(df, ["damage"]), quality.exceptions(df), df.where("side = 3"))]
+        assert [tuple(r) for r in got.collect()] == [tuple(want)]
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()

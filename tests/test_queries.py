@@ -50,3 +50,8 @@ def test_uses_are_combined_before_the_join(spark, sf_dir):
     join = next(i for i, line in enumerate(plan.split("\n")) if "LeftAnti" in line)
     right = [line for line in plan.split("\n")[join + 1 :] if line.split("Aggregate")[0].strip(" :") == "+-"]
     assert any("Aggregate [" in line for line in right), plan
+
+
+def test_the_report_reads_the_rows_few_times(spark, sf_dir):
+    plan = QUERIES["ranking_quality_report"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < sum("Relation" in line and "l_orderkey" in line for line in plan.split("\n")) <= 10
