@@ -362,6 +362,18 @@ def test_one_template_of_many_items(spark, make):
     assert found(make, spark, docs, items) == {(1, 5), (2, 5)}
 
 
+def test_without_the_bound_on_holders_nothing_is_left_out(spark, make):
+    """Items of one template are all given, and a passage that all share is evidence for each."""
+    items = [(i, f"A train leaves at {i} and runs {i + 7} miles in {i + 3} hours so how fast was it going") for i in range(5, 25)]
+    passage = "in all of these cases we know that the very same words stand before what is asked of you here"
+    items += [(100 + i, f"{passage} {w} one two three four five six seven") for i, w in enumerate("abcdefghijkl")]
+    docs = [(1, items[9][1]), (2, f"so {passage} and no more"), (3, "A train leaves at 9 and runs 16 miles")]
+    texts = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(make(docs), texts, few=None).collect()}
+    assert got == {(1, i) for i in range(5, 25)} | {(2, 100 + i) for i in range(12)}
+    assert found(make, spark, docs, items) == {(1, 5)}
+
+
 def test_every_planted_item_is_found(spark, sf_dir):
     docs, items = docs_of(spark, sf_dir), common.table(spark, sf_dir, "benchmark")
     texts = [r["text"] for r in items.collect()]
