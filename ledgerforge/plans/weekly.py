@@ -151,9 +151,12 @@ candidates AS (SELECT * FROM posted WHERE post > 0 AND post <= straddle)
 """
 
 
-def _reconciled(spark: SparkSession, d: str) -> DataFrame:
-    some = corrections(spark, d).where("user_id % 6 = 1")
-    parts = written(w.explained(t.rank_entry(spark, d), t.rounds(spark, d), t.battle(spark, d), some), "explained-damage")
+def _reconciled(spark: SparkSession, d: str, users: DataFrame | None = None) -> DataFrame:
+    """Of all users, or of ``users`` (entity_id): each has every snapshot instant of its weeks, so that the instants are the same without the others."""
+    some, entries = corrections(spark, d).where("user_id % 6 = 1"), t.rank_entry(spark, d)
+    if users is not None:
+        entries = entries.join(users, "entity_id", "left_semi")
+    parts = written(w.explained(entries, t.rounds(spark, d), t.battle(spark, d), some), "explained-damage")
     part = F.when(F.col("entity_id") % 5 == 0, 0).when(F.col("entity_id") % 5 == 1, F.col("straddle") + 1).otherwise(F.floor((F.col("straddle") + 1) / 2))
     value = (F.coalesce("derived", F.lit(0)) + F.coalesce("active", F.lit(0)) + part).cast("bigint")
     weeks = F.floor(F.unix_seconds(F.col("week_start").cast("timestamp")) / 604800)
@@ -178,6 +181,8 @@ NOW = "1999-06-01 00:00:00"
 SELECT entity_id, week_start, post FROM due ORDER BY checked_at NULLS FIRST, entity_id, week_start LIMIT 100""")
 def reconcile_due(spark: SparkSession, d: str) -> DataFrame:
     """The candidates that may be corrected now: quiet for two hours and not looked at within half an hour, 100 at most."""
+    now = F.lit(NOW).cast("timestamp_ntz")
     a = t.account(spark, d).select(F.col("account_id").alias("entity_id"), F.col("last_active_at").alias("last_connected"), F.col("checked_at").alias("last_checked"))
-    due = w.due_for_recheck(_reconciled(spark, d).join(a, "entity_id"), F.lit(NOW).cast("timestamp_ntz"), tie=("entity_id", "week_start"))
+    a = written(w.waiting(a, now), "waiting-accounts")  # only these are worked through
+    due = w.due_for_recheck(_reconciled(spark, d, a.select("entity_id")).join(a, "entity_id"), now, tie=("entity_id", "week_start"))
     return due.select("entity_id", "week_start", "post")

@@ -490,3 +490,45 @@ def test_merged_rows_are_counted_in_one_pass(spark):
         want = [f.count() for f in (quality.orphans(df), quality.duplicates(df), quality.leftovers(df, ["damage"]), quality.exceptions(df), df.where("side = 3"))]
         assert [tuple(r) for r in got.collect()] == [tuple(want)]
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_meet_their_rounds_once(spark):
+    """All parts of the totals from one join with the rounds, against the single operators joined by user and week."""
+    rng = random.Random(6)
+    monday = dt.datetime(2026, 8, 3)
+    at = lambda: monday + dt.timedelta(hours=rng.randrange(2000))
+    rounds, entries, battles = [], [], []
+    for b in range(300):
+        began = at()
+        battles.append((b, began, rng.choice([None, None, began + dt.timedelta(days=2)])))
+        rounds += [(b, n, start, rng.choice([(start or monday) + dt.timedelta(hours=rng.randrange(1200)), None])) for n in (1, 2) for start in [rng.choice([at(), at(), None])]]
+        entries += [(b, rng.choice([1, 2, 3]), rng.randrange(8), rng.choice([1, 2, 3, None]), rng.choice([0, 5, 8, None])) for _ in range(rng.randrange(9))]
+    amounts = [(u, monday + dt.timedelta(days=7 * k), rng.choice([-4, 0, 7, None])) for u in range(12) for k in range(12) if rng.random() < 0.5]
+    entries = spark.createDataFrame(entries, "battle_id long, round_number int, entity_id long, side int, damage long")
+    rounds = spark.createDataFrame(rounds, "battle_id long, number int, created_at timestamp_ntz, ended_at timestamp_ntz")
+    battles = spark.createDataFrame(battles, "battle_id long, created_at timestamp_ntz, ended_at timestamp_ntz")
+    amounts = spark.createDataFrame(amounts, "user_id long, week_start timestamp_ntz, amount long")
+    got = weekly.explained(entries, rounds, battles, amounts)
+    rows = lambda df, *names: {(r["entity_id"], r["week_start"]): tuple(r[n] for n in names) for r in df.collect()}
+    straddle = rows(weekly.straddlers(entries, rounds), "straddle")
+    derived = rows(weekly.weekly_damage(entries, rounds, amounts).withColumnRenamed("user_id", "entity_id"), "damage")
+    active = rows(weekly.active_damage(entries, battles), "active", "began")
+    first = {u: min(began for (x, _), (_, began) in active.items() if x == u) for u, _ in active}
+    want = {k: (*v, *derived.get(k, (None,)), active.get(k, (None,))[0], first.get(k[0])) for k, v in straddle.items()}
+    assert len(want) > 60 and all(len({v[i] is None for v in want.values()}) == 2 for i in (1, 2))
+    assert rows(got, "straddle", "derived", "active", "first") == want and got.count() == len(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
+def test_only_accounts_that_wait_are_worked_through(spark, sf_dir, monkeypatch):
+    from ledgerforge import fixtures
+    from ledgerforge.plans import QUERIES
+
+    seen, explained = [], weekly.explained
+    monkeypatch.setattr(weekly, "explained", lambda entries, *rest: [seen.append(entries), explained(entries, *rest)][1])
+    QUERIES["reconcile_due"](spark, sf_dir)
+    now = dt.datetime(1999, 6, 1)
+    wait = {a["account_id"] for a in fixtures.account(spark, sf_dir).collect() if (not a["last_active_at"] or a["last_active_at"] <= now - dt.timedelta(hours=2)) and (not a["checked_at"] or a["checked_at"] <= now - dt.timedelta(minutes=30))}
+    every = [r["entity_id"] for r in fixtures.rank_entry(spark, sf_dir).select("entity_id").collect()]
+    assert sorted(r["entity_id"] for r in seen[0].collect()) == sorted(u for u in every if u in wait)
+    assert 0 < len(wait & set(every)) < len(set(every))
